@@ -46,7 +46,7 @@ GUEST_CODE, GUEST_NAME = "Mã khách lẻ", "Khách lẻ"
 BUDGET_ID = "0d321ffd-14fa-11f0-9deb-005056b332bc"
 BUDGET_CODE, BUDGET_NAME = "TTBH", "Thu từ bán hàng"
 APPROVED = 3
-RECEIPT_AUTHOR, ISSUE_EDITOR, SYNC_AUTHOR = "script", "MISA_SP", "sync script"
+RECEIPT_AUTHOR, EDITOR, SYNC_AUTHOR = "script", "MISA_SP", "sync script"
 
 # texts
 DEBT_MEMO = "Thu tiền bán hàng từ "

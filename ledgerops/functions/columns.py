@@ -39,15 +39,18 @@ def number_text(column: Column) -> Column:
 
 def stable_id(*parts: Column) -> Column:
     """36-character id that a recomputed stage gives again."""
-    texts = [F.coalesce(part.cast("string"), F.lit("")) for part in parts]
-    digest = F.sha2(F.concat_ws("|", *texts), 256)
+    digest = F.sha2(F.concat_ws("|", *[blank(part) for part in parts]), 256)
     cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
     return F.concat_ws("-", *[F.substring(digest, start, length) for start, length in cuts])
 
 
+def blank(column: Column) -> Column:
+    return F.coalesce(column.cast("string"), F.lit(""))
+
+
 def finding_key(check: str, *ids: Column) -> Column:
-    texts = [F.coalesce(part.cast("string"), F.lit("")) for part in ids]
-    return F.sha2(F.concat_ws("|", F.lit(check), *texts), 256)
+    """Digest of the check name and its ids; a null id is left out."""
+    return F.sha2(F.concat_ws("|", F.lit(check), *[part.cast("string") for part in ids]), 256)
 
 
 def conform(frame: DataFrame, schema: Mapping[str, str]) -> DataFrame:
