@@ -22,7 +22,7 @@ from ledgerops.operators import (
 from ledgerops.operators.numbering import AS_WRITTEN, INTENDED
 from ledgerops.plans.generate import BATCH, at, generate_vouchers
 from ledgerops.plans.synchronise import synchronise
-from ledgerops.session import tune
+from ledgerops.session import keep, tune
 from ledgerops.sources.tables import DerivedTables
 
 Tables = Mapping[str, DataFrame]
@@ -68,9 +68,11 @@ def issue_headers(t: Tables, mode: str = AS_WRITTEN) -> DataFrame:
 
 
 def issue_lines(t: Tables) -> DataFrame:
-    return issues.issue_lines(
+    """Written once, since costing reads the lines for their issue times as well."""
+    lines = issues.issue_lines(
         issue_headers(t), t["sa_order_detail"], t["stock"], t["inventory_item"], at(RUN_AT)
     )
+    return keep(lines, "issue_lines")
 
 
 def on_hand(t: Tables, mode: str) -> DataFrame:
