@@ -46,7 +46,8 @@ def generate_vouchers(
     the shared folder, since several outputs are made from each of them."""
     now = at(run_at)
     state, options = t["refno_state"], t["dboption"]
-    targets = keep(receipts.target_orders(t, batch), "targets")
+    needed = dict.fromkeys((*receipts.ORDER_COLUMNS, *issues.ORDER_COLUMNS))
+    targets = keep(receipts.target_orders(t, batch).select(*needed), "targets")
 
     candidates = receipts.receipt_candidates(t, targets, mode)
     receipt = receipts.receipt_headers(receipts.number_receipts(candidates, mode), state, options)
