@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections import Counter
 from decimal import Decimal
 
@@ -44,5 +45,17 @@ def duck_bag(con, sql):
     return bag(relation.columns, relation.fetchall()), relation
 
 
-def spark_types(frame):
-    return {name: kind for name, kind in frame.dtypes}
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def check_plan(frame):
+    """No join of everything with everything, no Python, and a window without groups
+    only over the row counts of the range partitions."""
+    text = plan(frame)
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):
+        assert node not in text, node
+    for line in text.splitlines():
+        if re.search(r"Window \[", line) and "_rows" not in line:
+            assert re.search(r"\], \[\w+#\d+.*\], \[", line), line

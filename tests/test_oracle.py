@@ -1,7 +1,7 @@
 """Every query against DuckDB: names, types and rows."""
 
 import pytest
-from compare import connect, duck_bag, spark_bag
+from compare import check_plan, connect, duck_bag, spark_bag
 
 import __spark_entry__ as driver
 from ledgerops import queries
@@ -74,6 +74,7 @@ def test_query_matches_oracle(spark, small, name):
     types = {column: DUCK_NAMES.get(kind, kind.upper()) for column, kind in frame.dtypes}
     duck_types = dict(zip(relation.columns, [str(t) for t in relation.types], strict=True))
     assert types == duck_types
+    check_plan(frame)
 
 
 @pytest.mark.parametrize("name", ["vg20_costed_lines", "vg20_costed_lines_intended"])
