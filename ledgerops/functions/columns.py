@@ -88,6 +88,21 @@ def within(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     return left.join(keys_of(right, on), on, "left_semi")
 
 
+def join_spread(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """A join that stays splittable when one key holds very many rows of `left`.
+
+    Adaptive execution splits a hot partition only where both sides come straight
+    from a shuffle made for the join. A side that is already laid out by the same
+    keys, as after a grouping, would hide that; the hash as a further key gives
+    both sides a shuffle of their own. A side small enough is still broadcast."""
+    spread = F.xxhash64(*on)
+    return (
+        left.withColumn("_spread", spread)
+        .join(right.withColumn("_spread", spread), ["_spread", *on], how)
+        .drop("_spread")
+    )
+
+
 def repeat_rows(frame: DataFrame, copies: Column) -> DataFrame:
     """Each row `copies` times, through two short lists rather than one long one."""
     last = F.col("_copies") - 1

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerops.functions import codes
-from ledgerops.functions.columns import conform, stable_id
+from ledgerops.functions.columns import conform, join_spread, stable_id
 from ledgerops.session import keep
 from ledgerops.sources.schemas import SCHEMAS
 
@@ -48,14 +48,12 @@ def number_rows(frame: DataFrame, order: list[str], name: str) -> DataFrame:
 
 def number_in_branch(numbered: DataFrame) -> DataFrame:
     """Turn numbers over the whole frame, led by branch, into numbers per branch."""
-    first = (
-        numbered.groupBy(F.col("branch_id").alias("_branch"))
-        .agg(F.min("row_num").alias("_first"))
-    )
+    keyed = numbered.withColumn("_key", F.coalesce(F.concat(F.lit("="), "branch_id"), F.lit("")))
+    first = keyed.groupBy("_key").agg(F.min("row_num").alias("_first"))
     return (
-        numbered.join(first, F.col("branch_id").eqNullSafe(F.col("_branch")))
+        join_spread(keyed, first, ["_key"], "inner")
         .withColumn("row_num", F.col("row_num") - F.col("_first") + 1)
-        .drop("_branch", "_first")
+        .drop("_key", "_first")
     )
 
 

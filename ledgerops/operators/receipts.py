@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerops.functions import codes
-from ledgerops.functions.columns import conform, or_zero, stable_id, within, without
+from ledgerops.functions.columns import (
+    conform,
+    join_spread,
+    or_zero,
+    stable_id,
+    within,
+    without,
+)
 from ledgerops.operators.numbering import (
     AS_WRITTEN,
     INTENDED,
@@ -103,9 +110,14 @@ def receipt_candidates(t: Tables, targets: DataFrame, mode: str = AS_WRITTEN) ->
     debt_rows = _payments(t["sa_order_payment"], debt_payment)
     in_cash = F.col("payment_type").isin(*codes.CASH_PAYMENT)
 
+    def once(payments: DataFrame) -> DataFrame:
+        return _first_payment(payments) if mode == INTENDED else payments
+
+    def with_payments(wanted: Column, payments: DataFrame) -> DataFrame:
+        return join_spread(payments, orders.where(wanted), ["order_id"], "inner")
+
     sale = (
-        orders.where((F.col("receive_amount") > 0) & ~cod & ~store_debt & _free("_sale"))
-        .join(sale_rows, "order_id")
+        with_payments((F.col("receive_amount") > 0) & ~cod & ~store_debt & _free("_sale"), sale_rows)
         .withColumns(
             {
                 "source": F.lit(SALE),
@@ -121,8 +133,7 @@ def receipt_candidates(t: Tables, targets: DataFrame, mode: str = AS_WRITTEN) ->
         )
     )
     cod_paid = (
-        orders.where(cod & (F.col("remain_amount") > 0) & _free("_cod"))
-        .join(_first_payment(sale_rows) if mode == INTENDED else sale_rows, "order_id")
+        with_payments(cod & (F.col("remain_amount") > 0) & _free("_cod"), once(sale_rows))
         .withColumns(
             {
                 "source": F.lit(COD),
@@ -136,10 +147,11 @@ def receipt_candidates(t: Tables, targets: DataFrame, mode: str = AS_WRITTEN) ->
     closing = customer_debt(t["led_account_object_closing"]).withColumnRenamed(
         "account_object_id", "customer_id"
     )
+    debt_rows = with_payments(
+        (F.col("receive_amount") > 0) & store_debt & _free("_debt"), once(debt_rows)
+    )
     debt_paid = (
-        orders.where((F.col("receive_amount") > 0) & store_debt & _free("_debt"))
-        .join(_first_payment(debt_rows) if mode == INTENDED else debt_rows, "order_id")
-        .join(closing, ["customer_id", "branch_id"], "left")
+        join_spread(debt_rows, closing, ["customer_id", "branch_id"], "left")
         .withColumns(
             {
                 "source": F.lit(DEBT),

@@ -205,18 +205,23 @@ STAGES: dict[str, str] = {
 }
 
 
+def _whole(value: str) -> str:
+    """Rounded half away from zero; double division first settles at eight decimals."""
+    return f"cast(cast(abs({value}) as decimal(30,8)) as decimal(21,0))"
+
+
 def _costed(on_hand: str, intended: bool) -> str:
     enough = "* quantity" if intended else ""
     return f"""
     select ref_id, ref_detail_id, order_detail_id, inventory_item_id, stock_id, quantity,
-        cast(case when held is null then 0 when quantity * rate >= held
-                then cast(abs(worth * rate / (quantity * rate)) as decimal(21,0))
-            when held > 0 then cast(abs(worth * rate / held) as decimal(21,0)) else 0 end
+        cast(case when held is null then 0
+            when quantity * rate >= held then {_whole("worth * rate / (quantity * rate)")}
+            when held > 0 then {_whole("worth * rate / held")} else 0 end
             as decimal(21,6)) as unit_price,
-        cast(case when held is null then 0 when quantity * rate >= held
-                then cast(abs(worth) as decimal(21,0))
-            when held > 0 then cast(abs(worth * rate / held {enough}) as decimal(21,0))
-            else 0 end as decimal(21,6)) as amount,
+        cast(case when held is null then 0
+            when quantity * rate >= held then {_whole("worth")}
+            when held > 0 then {_whole(f"worth * rate {enough} / held")} else 0 end
+            as decimal(21,6)) as amount,
         held is not null as priced
     from (
         select x.*, cast(h.closing_quantity as decimal(21,6)) as held,

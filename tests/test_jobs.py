@@ -24,9 +24,19 @@ def tables(spark):
     return queries.derived_tables(spark, SMALL)
 
 
+@pytest.fixture(scope="module")
+def runs(tables):
+    return {mode: generate_vouchers(tables, RUN_AT, None, mode) for mode in ("as_written", "intended")}
+
+
+@pytest.fixture(scope="module")
+def batch(tables):
+    return generate_vouchers(tables, RUN_AT, 100)
+
+
 @pytest.mark.parametrize("mode", ["as_written", "intended"])
-def test_second_run_generates_nothing(spark, tables, mode):
-    first = generate_vouchers(tables, RUN_AT, None, mode)
+def test_second_run_generates_nothing(spark, tables, runs, mode):
+    first = runs[mode]
     after = dict(tables)
     for name in (*first.added, *first.replaced):
         # this test data has no table of receipt lines to begin with
@@ -37,9 +47,8 @@ def test_second_run_generates_nothing(spark, tables, mode):
     assert all(frame.isEmpty() for frame in second.added.values())
 
 
-def test_batches_share_one_draw_and_cover_all_orders(spark, tables):
-    whole = generate_vouchers(tables, RUN_AT, None)
-    capped = generate_vouchers(tables, RUN_AT, 100)
+def test_a_batch_takes_the_oldest_orders_in_one_draw(spark, runs, batch):
+    whole, capped = runs["as_written"], batch
     assert capped.added["outward"].count() == capped.targets.count() == 100
     drawn = {r.order_id for r in capped.targets.select("order_id").collect()}
     paid = {r.order_id for r in capped.added["ca_receipt_detail"].select("order_id").collect()}
@@ -48,8 +57,8 @@ def test_batches_share_one_draw_and_cover_all_orders(spark, tables):
     assert drawn == {order for _, order in oldest}
 
 
-def test_vouchers_are_consistent(spark, tables):
-    run = generate_vouchers(tables, RUN_AT, None, "intended")
+def test_vouchers_are_consistent(spark, runs):
+    run = runs["intended"]
     registry = run.added["refno_management"]
     assert registry.groupBy("branch_id", "reftype_category", "refno").count().where("count > 1").isEmpty()
     for head, line, money in (("outward", "outward_detail", "amount"), ("ca_receipt", "ca_receipt_detail", "amount")):
@@ -64,19 +73,19 @@ def test_vouchers_are_consistent(spark, tables):
     assert run.left_over.isEmpty()
 
 
-def test_rerun_of_the_same_input_gives_the_same_rows(spark, tables):
-    one, two = (generate_vouchers(tables, RUN_AT, 200) for _ in range(2))
+def test_rerun_of_the_same_input_gives_the_same_rows(spark, tables, batch):
+    one, two = batch, generate_vouchers(tables, RUN_AT, 100)
     for name in one.added:
         assert one.added[name].exceptAll(two.added[name]).isEmpty()
         assert one.added[name].count() == two.added[name].count()
 
 
-def test_written_tables_after_a_run(spark, tables, tmp_path):
+def test_written_tables_after_a_run(spark, tables, batch, tmp_path):
     folder, following = str(tmp_path / "v1"), str(tmp_path / "v2")
     changed = ("voucher_reference", "refno_state", "object_reference", "outward", "ca_receipt")
     for name in (*changed, "refno_management", "outward_detail"):
         tables[name].write.parquet(f"{folder}/{name}")
-    run = generate_vouchers(tables, RUN_AT, 50)
+    run = batch
     expected = {name: frame.count() for name, frame in run.added.items()}
     paths = write_changes(run, folder, following)
     assert paths["refno_state"] == f"{following}/refno_state"
@@ -85,7 +94,7 @@ def test_written_tables_after_a_run(spark, tables, tmp_path):
         before = tables[name].count() if name in tables else 0
         assert spark.read.parquet(paths[name]).count() == before + rows
     read = ParquetTables(spark, folder, ("voucher_reference",))["voucher_reference"]
-    assert read.where("ref_type1 = 2900 and modified_by = 'MISA_SP'").count() == 50
+    assert read.where("ref_type1 = 2900 and modified_by = 'MISA_SP'").count() == 100
 
 
 USE = "primary_object_type int, primary_object_id string, reference_object_type int, used_count decimal(21,6)"
