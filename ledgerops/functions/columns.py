@@ -78,16 +78,6 @@ def keys_of(frame: DataFrame, columns: Iterable[str]) -> DataFrame:
     return frame.select(*columns).distinct()
 
 
-def without(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of `left` that have no partner in `right`."""
-    return left.join(keys_of(right, on), on, "left_anti")
-
-
-def within(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of `left` that have a partner in `right`."""
-    return left.join(keys_of(right, on), on, "left_semi")
-
-
 def join_spread(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
     """A join that stays splittable when one key holds very many rows of `left`.
 
@@ -103,6 +93,23 @@ def join_spread(left: DataFrame, right: DataFrame, on: list[str], how: str) -> D
     )
 
 
+def without(
+    left: DataFrame, right: DataFrame, on: list[str], hot: bool = False
+) -> DataFrame:
+    """Rows of `left` that have no partner in `right`. `hot`: a key may hold very many
+    rows of `left`, as for a foreign key; a row's own id needs no such care."""
+    join = join_spread if hot else DataFrame.join
+    return join(left, keys_of(right, on), on, "left_anti")
+
+
+def within(
+    left: DataFrame, right: DataFrame, on: list[str], hot: bool = False
+) -> DataFrame:
+    """Rows of `left` that have a partner in `right`; `hot` as above."""
+    join = join_spread if hot else DataFrame.join
+    return join(left, keys_of(right, on), on, "left_semi")
+
+
 def repeat_rows(frame: DataFrame, copies: Column) -> DataFrame:
     """Each row `copies` times, through two short lists rather than one long one."""
     last = F.col("_copies") - 1

@@ -67,10 +67,11 @@ def issue_headers(t: Tables, mode: str = AS_WRITTEN) -> DataFrame:
     return issues.issue_headers(numbered, t["refno_state"], t["dboption"])
 
 
-def issue_lines(t: Tables) -> DataFrame:
+def issue_lines(t: Tables, headers: DataFrame | None = None) -> DataFrame:
     """Written once, since costing reads the lines for their issue times as well."""
+    headers = issue_headers(t) if headers is None else headers
     lines = issues.issue_lines(
-        issue_headers(t), t["sa_order_detail"], t["stock"], t["inventory_item"], at(RUN_AT)
+        headers, t["sa_order_detail"], t["stock"], t["inventory_item"], at(RUN_AT)
     )
     return keep(lines, "issue_lines")
 
@@ -80,8 +81,8 @@ def on_hand(t: Tables, mode: str) -> DataFrame:
     return costing.stock_on_hand(t["led_inventory_item_ledger"], points, mode)
 
 
-def costed_lines(t: Tables, mode: str) -> DataFrame:
-    lines = issue_lines(t)
+def costed_lines(t: Tables, mode: str, headers: DataFrame | None = None) -> DataFrame:
+    lines = issue_lines(t, headers)
     held = costing.stock_on_hand(
         t["led_inventory_item_ledger"], costing.issue_points(lines), mode, priced_only=True
     )
@@ -139,11 +140,14 @@ def _state(mode: str, with_new: bool) -> Callable[[Tables], DataFrame]:
     return query
 
 
+def _issue_usage(t: Tables) -> DataFrame:
+    headers = issue_headers(t)
+    return usage.issue_usage(headers, issue_lines(t, headers))
+
+
 def _added_usage(mode: str) -> Callable[[Tables], DataFrame]:
     def query(t: Tables) -> DataFrame:
-        counts = usage.receipt_usage(receipt_headers(t)).unionByName(
-            usage.issue_usage(issue_headers(t), issue_lines(t))
-        )
+        counts = usage.receipt_usage(receipt_headers(t)).unionByName(_issue_usage(t))
         return usage.add_usage(t["object_reference"], counts, at(RUN_AT), mode)
 
     return query
@@ -151,8 +155,9 @@ def _added_usage(mode: str) -> Callable[[Tables], DataFrame]:
 
 def _totals(mode: str) -> Callable[[Tables], DataFrame]:
     def query(t: Tables) -> DataFrame:
-        rows = issues.issue_rows(issue_headers(t), at(RUN_AT))
-        return issues.with_totals(rows, costed_lines(t, mode))
+        headers = issue_headers(t)
+        rows = issues.issue_rows(headers, at(RUN_AT))
+        return issues.with_totals(rows, costed_lines(t, mode, headers))
 
     return query
 
@@ -252,7 +257,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "vg20_costed_lines_intended": _costed(INTENDED),
     "vg21_issue_totals": _totals(AS_WRITTEN),
     "vg21_issue_totals_intended": _totals(INTENDED),
-    "vg22_issue_usage": lambda t: usage.issue_usage(issue_headers(t), issue_lines(t)),
+    "vg22_issue_usage": _issue_usage,
     "vg23_orders_to_refresh": lambda t: usage.orders_to_refresh(
         t["voucher_reference"].unionByName(_links(t))
     ),
