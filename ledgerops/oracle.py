@@ -246,7 +246,7 @@ SIGNED = {
     },
     "issue": {
         "created_date": NOW, "created_by": "null", "modified_date": NOW,
-        "modified_by": "'MISA_SP'",
+        "modified_by": f"'{codes.EDITOR}'",
     },
 }
 
@@ -686,7 +686,7 @@ def _issue_select(total: str, join: str = "") -> str:
         "created_date": NOW,
         "created_by": "null",
         "modified_date": NOW,
-        "modified_by": "'MISA_SP'",
+        "modified_by": f"'{codes.EDITOR}'",
         "employee_id": "null",
         "employee_code": "null",
         "object_type": "1",
@@ -872,7 +872,7 @@ UPDATES = {name: f"o.{source}" for name, source in sync.UPDATED.items()}
 def _updated_orders() -> str:
     stored = {"order_id", "ref_no", "order_status"}
     values = {name: f"g.{name}" if name in stored else "null" for name in sync.GENERAL_ORDER}
-    for name, value in {**UPDATES, "modified_by": "'MISA_SP'"}.items():
+    for name, value in {**UPDATES, "modified_by": f"'{codes.EDITOR}'"}.items():
         old = f"g.{name}" if name in stored else "null"
         values[name] = f"case when {DIFFERS} then {value} else {old} end"
     return f"""select {_project(sync.GENERAL_ORDER, values)}
@@ -889,7 +889,7 @@ SYNC = {
     "sy3_missing_order_lines": MISSING_LINES,
     "sy4_changed_orders": f"""
         select g.order_id, {', '.join(f'{value} as {name}' for name, value in UPDATES.items())},
-            'MISA_SP' as modified_by
+            '{codes.EDITOR}' as modified_by
         from general_order g join sa_order o on o.order_id = g.order_id where {DIFFERS}""",
     "sy4_next_orders": _updated_orders(),
     "sy5_issues_to_delete": f"""select ref_id, ref_type from outward

@@ -101,7 +101,7 @@ def test_registry_state_key_with_a_null_prefix(spark):
     assert receipt.state_key == "B1|2091||4"
     assert issue.id == receipt.id == "B1|2091|0008"
     assert issue.value == 7
-    assert (issue.created_by, issue.modified_by) == (None, "MISA_SP")
+    assert (issue.created_by, issue.modified_by) == (None, codes.EDITOR)
     assert (receipt.created_by, receipt.modified_by) == ("script", None)
 
 
