@@ -1,0 +1,270 @@
+"""Every text operator against a brute-force form, on hard rows and on a whole small table."""
+
+from __future__ import annotations
+
+import base64
+
+import brute
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+import tiktoken
+from ledgerops.llm import bpe, line_dedup, mixing, queries, simhash, substring_dedup, suffix_dedup, token_counts, toxicity
+from pyspark.sql import functions as F
+
+SF = "/root/testdata/sf0.001"
+RANKS = public_tokenizers.path(queries.RANKS)
+MODEL = public_tokenizers.path(queries.PIECES)
+
+
+def pairs(docs):
+    return [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+
+
+def by_id(frame, key="doc_id"):
+    rows = frame.collect()
+    assert len({r[key] for r in rows}) == len(rows)
+    return {r[key]: tuple(x for k, x in r.asDict().items() if k != key) for r in rows}
+
+
+@pytest.fixture(params=["hard", "sample"])
+def docs(request, hard_docs, sample):
+    return hard_docs if request.param == "hard" else sample
+
+
+def test_simhash(spark, docs, monkeypatch):
+    want = brute.simhash(pairs(docs))
+    got = simhash.near_duplicates(docs).withColumn("fp", F.lower(F.lpad(F.hex("fp"), 16, "0")))
+    assert by_id(got) == want
+    monkeypatch.setattr(simhash, "CROWDED", 1)  # midpoints for every shared block
+    got = simhash.near_duplicates(docs).withColumn("fp", F.lower(F.lpad(F.hex("fp"), 16, "0")))
+    assert by_id(got) == want
+    left = simhash.without_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert {r.doc_id for r in left.collect()} == {root for _, root in want.values()}
+
+
+def test_crowded_blocks_find_chains(spark):
+    marks = [0, 1, 3, 7, 15, 1 << 63, (1 << 63) | 1, 0xFF << 20, (0xFF << 20) | (1 << 40) | 1]
+    rows = [(i, m - (1 << 64) if m >> 63 else m) for i, m in enumerate(marks)]
+    nodes = spark.createDataFrame(rows, "node long, fp long")
+    want = {(i, j) for j in range(len(marks)) for i in range(j) if (marks[i] ^ marks[j]).bit_count() <= 2}
+    roots = brute.reach(range(len(marks)), want)
+    for crowded in (0, 1, 64):
+        simhash.CROWDED = crowded
+        got = [tuple(r) for r in simhash.near_links(nodes, 2).collect()]
+        assert brute.reach(range(len(marks)), got) == roots
+        assert set(got) <= want
+    simhash.CROWDED = 64
+
+
+def test_suffix_dedup(docs):
+    got = suffix_dedup.dedup_substrings(docs).select(
+        "doc_id", "n_bytes", F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"]),
+        F.size("spans"), F.sha2("kept", 256),
+    )
+    assert by_id(got) == brute.suffix(pairs(docs))
+
+
+def test_difference_cover():
+    cover, period = suffix_dedup.COVER, suffix_dedup.PERIOD
+    for i in range(period):
+        for j in range(period):
+            assert any((i + d) % period in cover and (j + d) % period in cover for d in range(period))
+
+
+def test_substring_dedup(docs):
+    got = substring_dedup.dedup_windows(docs).withColumn("kept", F.sha2("kept", 256))
+    assert by_id(got) == brute.windows(pairs(docs))
+
+
+@pytest.mark.parametrize("length", [2, 3, 7])
+def test_substring_dedup_of_short_windows(hard_docs, length):
+    got = substring_dedup.dedup_windows(hard_docs, words=length).withColumn("kept", F.sha2("kept", 256))
+    assert by_id(got) == brute.windows(pairs(hard_docs), length)
+
+
+def test_many_blocks_and_buckets(sample, monkeypatch):
+    from ledgerops.llm import repeats
+
+    monkeypatch.setattr(repeats, "BYTES_PER_BLOCK", 20_000)
+    monkeypatch.setattr(repeats, "KEYS_PER_BUCKET", 9_000)
+    got = substring_dedup.dedup_windows(sample).withColumn("kept", F.sha2("kept", 256))
+    assert by_id(got) == brute.windows(pairs(sample))
+    got = suffix_dedup.dedup_substrings(sample).select("doc_id", "n_bytes", F.sha2("kept", 256))
+    assert by_id(got) == {d: (x[0], x[3]) for d, x in brute.suffix(pairs(sample)).items()}
+
+
+def test_line_dedup(docs):
+    for least in (10, 3, 2):
+        got = line_dedup.dedup_lines(docs, min_docs=least).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256))
+        assert by_id(got) == brute.lines(pairs(docs), least)
+
+
+def test_line_dedup_with_a_full_filter(hard_docs, monkeypatch):
+    """Beyond the filter's bound every line is suspected and results stay the same."""
+    monkeypatch.setattr(line_dedup, "seen_twice", lambda texts, bits, shortest: b"\xff" * ((1 << bits) // 8))
+    got = line_dedup.dedup_lines(hard_docs, min_docs=3).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256))
+    assert by_id(got) == brute.lines(pairs(hard_docs), 3)
+
+
+def test_line_dedup_keeps_the_first(spark):
+    rows = spark.createDataFrame([(3, "x\nhot\nHOT"), (1, "hot \ny\nhot"), (2, "hot")], "doc_id long, text string")
+    got = line_dedup.dedup_lines(rows, min_docs=2, keep_first=True)
+    assert {r.doc_id: r.text for r in got.collect()} == {1: "hot \ny", 2: "", 3: "x"}
+
+
+def test_bpe_round_trip(docs):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    coded = bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
+    for doc, text in pairs(docs):
+        row = by_id(coded.where(F.col("doc_id") == doc))[doc] if doc < 3 else None
+        if row:
+            assert np.frombuffer(row[0], "<u4").tolist() == library.encode_ordinary(text or "")
+    got = by_id(coded)
+    for doc, text in pairs(docs):
+        assert np.frombuffer(got[doc][0], "<u4").tolist() == library.encode_ordinary(text or "")
+        assert got[doc][1] == (text or "").encode()
+
+
+def test_bpe_of_long_pretokens():
+    ranks = bpe.read_ranks(RANKS)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    coder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    draw = np.random.default_rng(5)
+    texts = ["".join(draw.choice(list("aabeé z1\n"), n)) for n in draw.integers(0, 3000, 60)] + ["a" * 5000, "ab" * 4000]
+    for text, ids in zip(texts, coder.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text)
+    pieces = ["".join(draw.choice(list("thenandingio"), n)).encode() for n in draw.integers(1, 200, 300)]
+    for piece, packed in zip(pieces, coder.merge_many(pieces)):
+        assert coder.merge(piece) == np.frombuffer(packed, "<u4").tolist() or piece in ranks
+
+
+def test_token_counts(docs):
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    got = by_id(token_counts.count_tokens(docs, MODEL, limit=50))
+    for doc, text in pairs(docs):
+        n = len(library.encode(text or ""))
+        assert got[doc] == (len((text or "").encode()), n, n > 50)
+
+
+def test_token_counts_of_spaces():
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pieces = token_counts.Pieces(open(MODEL, "rb").read())
+    for text in ("", " ", "  ", "a ", " a", "a  b   ", "▁", "a▁ b", "<s> x </s>", "\n", "a\tb\r\n", "<unk>", "\0", " 中▁▁"):
+        times = token_counts.frequencies(text)
+        assert sum(n * times[t] for t, n in zip(times, pieces.count(list(times)))) == len(library.encode(text)), text
+
+
+def test_toxicity(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = toxicity.train(docs, labels)
+    held = docs.join(labels, "doc_id").where(toxicity.fold(F.col("doc_id")) == 0)
+    rows = toxicity.score(held, model).select("score", "predicted", "toxic").toPandas()
+    order = rows["score"].rank()
+    good = rows["toxic"] == 1
+    area = (order[good].sum() - good.sum() * (good.sum() + 1) / 2) / (good.sum() * (~good).sum())
+    assert area > 0.95
+    assert rows["score"].between(0, 1).all()
+    assert ((rows["score"] >= 0.5).astype(int) == rows["predicted"]).all()
+
+
+def test_toxicity_scores_whole_texts_and_odd_rows(spark, hard_docs, no_docs):
+    labels = spark.createDataFrame([(d, d % 2) for d in range(101)], "doc_id long, toxic int")
+    model = toxicity.train(hard_docs, labels)
+    got = by_id(toxicity.score(hard_docs, model).select("doc_id", "score"))
+    assert len(got) == hard_docs.count() and all(0 <= s <= 1 for (s,) in got.values())
+    assert toxicity.score(no_docs, model).count() == 0
+    blank = toxicity.train(hard_docs, labels.limit(0))
+    assert toxicity.score(hard_docs, blank).count() == hard_docs.count()
+    long = toxicity.Classifier.new(1)
+    text = b"good words here " * 60_000
+    assert long.scores([text])[0] != long.scores([text + b"idiot"])[0] or (long.out == 0).all()
+
+
+def test_mixing(spark):
+    for docs in (spark.read.parquet("/root/testdata/sf0.01/documents.parquet"),):
+        got = mixing.taken(docs).toPandas()
+        again = mixing.taken(docs.repartition(5)).toPandas()
+        key = ["doc_id", "taken"]
+        assert got.sort_values("doc_id")[key].values.tolist() == again.sort_values("doc_id")[key].values.tolist()
+        rows = docs.toPandas()
+        rows["words"] = [len(brute.WORD.findall(t or "")) for t in rows["text"]]
+        both = got.merge(rows, on="doc_id")
+        assert (both["size"] == both["words"]).all() and (both["taken"] <= 3 * both["size"]).all()
+        names = sorted(rows["source"].unique())
+        sizes = [int(rows.loc[rows["source"] == n, "words"].sum()) for n in names]
+        for name, size, goal in zip(names, sizes, brute.goals(sizes)):
+            own = both[both["source"] == name]
+            assert (own["source_size"] == size).all()
+            assert np.allclose(own["target"], goal)
+            assert abs(own["taken"].sum() - goal) <= own["size"].max()
+
+
+def test_mixing_of_odd_rows(spark, hard_docs, odd_docs, no_docs):
+    for docs in (hard_docs, odd_docs):
+        got = mixing.taken(docs).toPandas()
+        assert len(got) == docs.count()
+        assert (got["taken"] <= 3 * got["size"]).all()
+    assert mixing.taken(no_docs).count() == 0
+    mixed = mixing.mix(hard_docs)
+    assert mixed.columns == [*hard_docs.columns, "mix_shard", "mix_place"]
+    times = {d: n for d, n in mixed.groupBy("doc_id").count().collect()}
+    for row in mixing.taken(hard_docs).collect():
+        assert row.taken == row.size * times.get(row.doc_id, 0)
+
+
+def test_targets_against_water_filling(spark):
+    draw = np.random.default_rng(4)
+    for n in (1, 2, 3, 7, 40):
+        sizes = [int(x) for x in draw.integers(0, 10, n) ** 6]
+        names = [f"s{i:03d}" for i in range(n - 1)] + [None]
+        frame = spark.createDataFrame(list(zip(names, sizes)), "source string, source_size long")
+        got = {r.source: r.target for r in mixing.targets(frame).collect()}
+        assert np.allclose([got[name] for name in names], brute.goals(sizes))
+
+
+def test_split_quotas_is_exact(spark):
+    quotas = {"a": 100, "b": 37, None: 5, "c": 0}
+    frame = spark.createDataFrame(list(quotas.items()), "source string, quota long")
+    rows = mixing.split_quotas(frame, levels=3).toPandas()
+    rows["n"] = rows["last"] - rows["first"] + 1
+    for source, quota in quotas.items():
+        own = rows[rows["source"].isna() if source is None else rows["source"] == source].sort_values("shard")
+        assert own["n"].sum() == quota and (own["n"] >= 0).all()
+        assert own["first"].tolist() == [1, *(own["last"] + 1).tolist()[:-1]]
+    assert rows.groupby("shard")["n"].sum().between(17, 18).all()
+
+
+def test_hypergeometric_draws(spark):
+    frame = spark.range(8000).select(
+        mixing.hypergeometric(*[F.lit(n).cast("bigint") for n in (60, 25, 30)], mixing._uniform(F.col("id"))).alias("k")
+    )
+    drawn = np.array([r.k for r in frame.collect()])
+    assert abs(drawn.mean() - 12.5) < 0.1
+    assert abs(drawn.var() - 30 * (25 / 60) * (35 / 60) * (30 / 59)) < 0.25
+
+
+def test_odd_and_empty_tables(odd_docs, no_docs):
+    rows = odd_docs.count()
+    model = toxicity.Classifier.new(2)
+    runs = [
+        simhash.near_duplicates, suffix_dedup.dedup_substrings, substring_dedup.dedup_windows, line_dedup.dedup_lines,
+        lambda d: bpe.decode(bpe.encode(d, RANKS, public_tokenizers.PATTERN), RANKS),
+        lambda d: token_counts.count_tokens(d, MODEL), lambda d: toxicity.score(d, model), mixing.taken,
+    ]
+    for run in runs:
+        assert len(run(odd_docs).collect()) == rows
+        assert run(no_docs).collect() == []
+    left = simhash.without_near_duplicates(odd_docs).collect()
+    assert sorted(r.doc_id for r in left if r.doc_id is not None) == [1, 2]  # 3 is empty, as one text of 2
+
+
+def test_equal_ids_take_nothing_from_each_other(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(5, text), (5, text), (None, text), (4, None)], "doc_id long, text string")
+    got = {(r.doc_id, r.n_removed) for r in substring_dedup.dedup_windows(docs).collect()}
+    assert got == {(5, 0), (None, 60), (4, 0)}
