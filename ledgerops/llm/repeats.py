@@ -9,7 +9,10 @@ window hashes, sorted and packed, one piece per hash range ("bucket"); a bucket
 sorted by itself and answers with one bit per hash. Only windows that pass all
 filters enter the last pass, in which a bucket finds the smallest doc_id of every
 window and answers with one bit: a smaller one holds it elsewhere. A window that is
-very frequent reaches its bucket once per block, never once per occurrence."""
+very frequent reaches its bucket once per block, never once per occurrence.
+
+A row whose whole text stands in a row with a smaller doc_id holds nothing first and
+loses every window it has, so it takes no part in the passes."""
 
 from __future__ import annotations
 
@@ -20,12 +23,15 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerops.functions.columns import join_spread
 from ledgerops.llm.common import stored, text_of
 
 LAST_ID = np.iinfo(np.int64).max  # stands for a missing doc_id
+TEXT_SEED = 42  # of xxhash64 in SQL
 KEYS_PER_BUCKET = 4_000_000
 BYTES_PER_BLOCK = 2_000_000
 KEY_BITS, KEY_BYTES = 40, 5
@@ -112,7 +118,7 @@ class Scheme:
 class Block:
     """One block's documents in order of doc_id, and what its passes have worked out."""
 
-    def __init__(self, table: pa.Table, scheme: Scheme) -> None:
+    def __init__(self, table: pa.Table, scheme: Scheme, answers: pa.Table) -> None:
         column = table.column("doc_id").combine_chunks()
         ids = column.fill_null(LAST_ID).to_numpy(zero_copy_only=False).astype(np.int64)
         order = np.argsort(ids, kind="stable")
@@ -120,10 +126,19 @@ class Block:
         self.scheme, self.ids = scheme, ids[order]
         self.texts = [texts[i] for i in order]
         self.missing = column.is_null().to_numpy(zero_copy_only=False)[order]
-        self.units, self.bounds = scheme.units(self.texts)
+        rows = zip(answers.column("kind").to_pylist(), answers.column("bits").to_pylist())
+        late = [np.frombuffer(bits, "<i8") for kind, bits in rows if kind == COPIES]
+        self.copies = self._copies(np.concatenate(late)) if late else np.zeros(len(ids), bool)
+        self.units, self.bounds = scheme.units([b"" if c else t for t, c in zip(self.texts, self.copies.tolist())])
         self.prefix = _prefix(self.units, 0)
         self.owner = np.repeat(np.arange(len(self.texts), dtype=np.int32), np.diff(self.bounds))
 
+    def _copies(self, late: np.ndarray) -> np.ndarray:
+        """Rows that repeat an earlier text: `late` has their ids and text hashes by turns."""
+        known = set(zip(late[::2].tolist(), late[1::2].tolist()))
+        hashes = np.array([xxhash.xxh64_intdigest(t, TEXT_SEED) for t in self.texts], np.uint64).view(np.int64)
+        return np.array([pair in known for pair in zip(self.ids.tolist(), hashes.tolist())])
+
     @cached_property
     def sample(self) -> tuple[np.ndarray, np.ndarray]:
         """Starts and hashes of the sampled windows."""
@@ -139,7 +154,13 @@ class Block:
         starts, hashes = self.sample
         keys, again = self.keys
         flags = np.zeros(len(self.units) + 1, bool)
-        flags[starts[_among(hashes, keys[bits | again])]] = True
+        flags[starts[_among(hashes, keys[bits])]] = True
+        here = np.flatnonzero(_among(hashes, keys[again & ~bits]))
+        order = here[np.argsort(hashes[here], kind="stable")]  # so documents ascend within a hash
+        edges = np.append(np.flatnonzero(_changes(hashes[order])), len(order))
+        holders = self.owner[starts[order]]
+        several = holders[edges[:-1]] != holders[edges[1:] - 1]
+        flags[starts[order[np.repeat(several, np.diff(edges))]]] = True
         found = self.scheme.candidates(flags, self.bounds)
         return found[found + self.scheme.length <= self.bounds[1:][self.owner[found]]]
 
@@ -225,6 +246,7 @@ def _joined_bits(answers: pa.Table, kind: int, cuts: np.ndarray) -> np.ndarray:
     return flags
 
 
+FILTER, OWNER, COPIES = range(3)
 _SENT = "kind int, bucket int, block long, keys binary, tags binary, ids binary"
 _ANSWER = "kind int, bucket int, block long, bits binary"
 _SENT_ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("tags", pa.binary()), ("ids", pa.binary())])
@@ -286,7 +308,8 @@ def dedup(docs: DataFrame, scheme: Scheme, report: Callable[[Block, np.ndarray],
     blocks = max(1, math.ceil(total / BYTES_PER_BLOCK))
     units = total / scheme.unit_bytes
     buckets = tuple(max(1, math.ceil(n / KEYS_PER_BUCKET)) for n in (units * scheme.rate, units))
-    dealt = rows.select("doc_id", "text", F.pmod("hash", F.lit(blocks)).alias("block"))
+    blocked = F.pmod("hash", F.lit(blocks)).alias("block")
+    dealt = rows.select("doc_id", "text", blocked)
 
     def pieces(kind: int, block: int, cuts: np.ndarray, cut_out: Callable[[int, int], dict]) -> pa.Table:
         ranges = [(i, int(lo), int(hi)) for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if hi > lo]
@@ -294,31 +317,33 @@ def dedup(docs: DataFrame, scheme: Scheme, report: Callable[[Block, np.ndarray],
             [{"kind": kind, "bucket": i, "block": block} | cut_out(lo, hi) for i, lo, hi in ranges], _SENT_ARROW
         )
 
-    def ask_filter(key: tuple, table: pa.Table) -> pa.Table:
-        keys, _ = Block(table, scheme).keys
+    def ask_filter(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _SENT_ARROW.empty_table()
+        keys, _ = Block(table, scheme, answers).keys
         low = keys.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
-        return pieces(0, key[0].as_py(), _cuts(keys, buckets[0]), lambda lo, hi: {"keys": low[lo:hi].tobytes()})
+        return pieces(FILTER, key[0].as_py(), _cuts(keys, buckets[0]), lambda lo, hi: {"keys": low[lo:hi].tobytes()})
 
     def suspected(block: Block, answers: pa.Table) -> np.ndarray:
-        return block.filtered(_joined_bits(answers, 0, _cuts(block.keys[0], buckets[0])))
+        return block.filtered(_joined_bits(answers, FILTER, _cuts(block.keys[0], buckets[0])))
 
     def ask_owner(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _SENT_ARROW.empty_table()
-        block = Block(table, scheme)
+        block = Block(table, scheme, answers)
         hashes, tags, least, _ = block.windows(suspected(block, answers))
         return pieces(
-            1, key[0].as_py(), _cuts(hashes, buckets[1]),
+            OWNER, key[0].as_py(), _cuts(hashes, buckets[1]),
             lambda lo, hi: {"keys": hashes[lo:hi].tobytes(), "tags": tags[lo:hi].tobytes(), "ids": _planes(least[lo:hi])},
         )
 
     def finish(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
             return arrow.empty_table()
-        block = Block(table, scheme)
+        block = Block(table, scheme, answers)
         starts = suspected(block, answers)
         hashes, _, least, place = block.windows(starts)
-        elsewhere = _joined_bits(answers, 1, _cuts(hashes, buckets[1]))
+        elsewhere = _joined_bits(answers, OWNER, _cuts(hashes, buckets[1]))
         late = elsewhere[place] | (block.ids[block.owner[starts]] > least[place])
         return report(block, block.covered(starts[late]))
 
@@ -326,13 +351,34 @@ def dedup(docs: DataFrame, scheme: Scheme, report: Callable[[Block, np.ndarray],
     from pyspark.sql.types import _parse_datatype_string
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
+    copies = stored(_earlier_texts(rows.select("doc_id", "text", blocked)), "copies")
     ties = stored(
-        dealt.groupBy("block").applyInArrow(ask_filter, _SENT).groupBy("bucket").applyInArrow(_filter_bucket, _ANSWER),
+        dealt.groupBy("block").cogroup(copies.groupBy("block")).applyInArrow(ask_filter, _SENT)
+        .groupBy("bucket").applyInArrow(_filter_bucket, _ANSWER),
         "ties",
-    )
+    )
+    ties = ties.unionByName(copies)
     late = stored(
         dealt.groupBy("block").cogroup(ties.groupBy("block")).applyInArrow(ask_owner, _SENT)
         .groupBy("bucket").applyInArrow(_owner_bucket, _ANSWER),
         "holders",
     )
     return dealt.groupBy("block").cogroup(ties.unionByName(late).groupBy("block")).applyInArrow(finish, schema)
+
+
+def _earlier_texts(rows: DataFrame) -> DataFrame:
+    """Answers that name, for each block, its rows whose text has a smaller doc_id too:
+    ids and text hashes by turns. Texts are told apart by 128 bits of hash."""
+    marked = rows.select(
+        "block", F.coalesce("doc_id", F.lit(int(LAST_ID))).alias("id"),
+        F.xxhash64("text").alias("mark"), F.xxhash64(F.lit(1), F.col("text")).alias("second"),
+    )
+    firsts = marked.groupBy("mark", "second").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    late = join_spread(marked, firsts.where("first < last"), ["mark", "second"], "inner").where("id > first")
+    return late.groupBy("block").applyInArrow(_named, _ANSWER)
+
+
+def _named(late: pa.Table) -> pa.Table:
+    both = np.stack([late.column(c).to_numpy().astype("<i8") for c in ("id", "mark")], axis=1)
+    row = {"kind": COPIES, "bucket": 0, "block": late.column("block")[0].as_py(), "bits": both.tobytes()}
+    return pa.Table.from_pylist([row], _ANSWER_ARROW)

@@ -54,14 +54,17 @@ def dedup_windows(docs: DataFrame, words: int = 50) -> DataFrame:
 
 
 def _report(block: repeats.Block, gone: np.ndarray) -> pa.Table:
-    counts = np.diff(block.bounds)
     running = np.concatenate([[0], np.cumsum(gone, dtype=np.int64)])
-    removed = running[block.bounds[1:]] - running[block.bounds[:-1]]
-    kept = []
-    for lo, hi, n, text in zip(block.bounds[:-1].tolist(), block.bounds[1:].tolist(), removed.tolist(), block.texts):
+    cuts = (running[block.bounds[1:]] - running[block.bounds[:-1]]).tolist()
+    counts, removed, kept = [], [], []
+    for lo, hi, n, copy, text in zip(block.bounds[:-1].tolist(), block.bounds[1:].tolist(), cuts, block.copies.tolist(), block.texts):
         parts = text.split()
-        if n:
+        counts.append(len(parts))
+        if copy and len(parts) >= block.scheme.length:
+            n, parts = len(parts), []
+        elif n:
             parts = [parts[i] for i in np.flatnonzero(~gone[lo:hi]).tolist()]
+        removed.append(n)
         kept.append(b" ".join(parts).decode())
     ids = pa.array(block.ids, pa.int64(), mask=block.missing)
     return pa.table(

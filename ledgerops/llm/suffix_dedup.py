@@ -72,13 +72,16 @@ def dedup_substrings(docs: DataFrame, length: int = 50) -> DataFrame:
 def _report(block: repeats.Block, gone: np.ndarray) -> pa.Table:
     touched = np.concatenate([[0], np.cumsum(gone, dtype=np.int64)])
     some = touched[block.bounds[1:]] > touched[block.bounds[:-1]]
+    ranges = zip(block.bounds[:-1].tolist(), block.bounds[1:].tolist(), some.tolist())
     spans, kept = [], []
-    for lo, hi, cut, text in zip(block.bounds[:-1].tolist(), block.bounds[1:].tolist(), some.tolist(), block.texts):
-        edges = np.flatnonzero(np.diff(gone[lo:hi].astype(np.int8), prepend=0, append=0)).tolist() if cut else []
+    for (lo, hi, cut), copy, text in zip(ranges, block.copies.tolist(), block.texts):
+        edges = [0, len(text)] if copy and len(text) >= block.scheme.length else []
+        if cut:
+            edges = np.flatnonzero(np.diff(gone[lo:hi].astype(np.int8), prepend=0, append=0)).tolist()
         spans.append([{"from": s, "to": e} for s, e in zip(edges[::2], edges[1::2])])
         ends = [0, *edges, len(text)]
-        kept.append(b"".join(text[s:e] for s, e in zip(ends[::2], ends[1::2])) if cut else text)
+        kept.append(b"".join(text[s:e] for s, e in zip(ends[::2], ends[1::2])) if edges else text)
     ids = pa.array(block.ids, pa.int64(), mask=block.missing)
     span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
-    columns = [ids, pa.array(np.diff(block.bounds), pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())]
-    return pa.table(columns, ["doc_id", "n_bytes", "spans", "kept"])
+    sizes = pa.array([len(text) for text in block.texts], pa.int64())
+    return pa.table([ids, sizes, pa.array(spans, span), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
