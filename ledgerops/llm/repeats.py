@@ -104,7 +104,9 @@ def _hashes(prefix: np.ndarray, at: np.ndarray, length: int | np.ndarray, which:
 class Scheme:
     """How windows of `length` units are filtered. `sample` gives the starts at which
     windows of `filter_length` units are looked at, `candidates` the starts of full
-    windows that may repeat, from a flag per unit that tells which samples do."""
+    windows that may repeat, from a flag per unit that tells which samples do. Full
+    windows are sorted in `ranges` ranges of their hash, one after the other, so that
+    only one range lies on disk at a time."""
 
     length: int
     filter_length: int
@@ -113,6 +115,7 @@ class Scheme:
     candidates: Callable[[np.ndarray, np.ndarray], np.ndarray]
     unit_bytes: float = 1.0
     rate: float = 1.0
+    ranges: int = 1
 
 
 class Block:
@@ -311,8 +314,10 @@ def dedup(docs: DataFrame, scheme: Scheme, report: Callable[[Block, np.ndarray],
     blocked = F.pmod("hash", F.lit(blocks)).alias("block")
     dealt = rows.select("doc_id", "text", blocked)
 
-    def pieces(kind: int, block: int, cuts: np.ndarray, cut_out: Callable[[int, int], dict]) -> pa.Table:
-        ranges = [(i, int(lo), int(hi)) for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if hi > lo]
+    def pieces(
+        kind: int, block: int, cuts: np.ndarray, cut_out: Callable[[int, int], dict], part: int = 0, parts: int = 1
+    ) -> pa.Table:
+        ranges = [(i, int(cuts[i]), int(cuts[i + 1])) for i in _share(len(cuts) - 1, part, parts) if cuts[i + 1] > cuts[i]]
         return pa.Table.from_pylist(
             [{"kind": kind, "bucket": i, "block": block} | cut_out(lo, hi) for i, lo, hi in ranges], _SENT_ARROW
         )
@@ -327,7 +332,7 @@ def dedup(docs: DataFrame, scheme: Scheme, report: Callable[[Block, np.ndarray],
     def suspected(block: Block, answers: pa.Table) -> np.ndarray:
         return block.filtered(_joined_bits(answers, FILTER, _cuts(block.keys[0], buckets[0])))
 
-    def ask_owner(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+    def ask_owner(key: tuple, table: pa.Table, answers: pa.Table, part: int) -> pa.Table:
         if not table.num_rows:
             return _SENT_ARROW.empty_table()
         block = Block(table, scheme, answers)
@@ -335,6 +340,7 @@ def dedup(docs: DataFrame, scheme: Scheme, report: Callable[[Block, np.ndarray],
         return pieces(
             OWNER, key[0].as_py(), _cuts(hashes, buckets[1]),
             lambda lo, hi: {"keys": hashes[lo:hi].tobytes(), "tags": tags[lo:hi].tobytes(), "ids": _planes(least[lo:hi])},
+            part, scheme.ranges,
         )
 
     def finish(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -358,12 +364,20 @@ def dedup(docs: DataFrame, scheme: Scheme, report: Callable[[Block, np.ndarray],
         "ties",
     )
     ties = ties.unionByName(copies)
-    late = stored(
-        dealt.groupBy("block").cogroup(ties.groupBy("block")).applyInArrow(ask_owner, _SENT)
-        .groupBy("bucket").applyInArrow(_owner_bucket, _ANSWER),
-        "holders",
-    )
-    return dealt.groupBy("block").cogroup(ties.unionByName(late).groupBy("block")).applyInArrow(finish, schema)
+    replies = ties
+    for part in range(scheme.ranges):
+        asked = dealt.groupBy("block").cogroup(ties.groupBy("block")).applyInArrow(_with_part(ask_owner, part), _SENT)
+        replies = replies.unionByName(stored(asked.groupBy("bucket").applyInArrow(_owner_bucket, _ANSWER), "holders"))
+    return dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(finish, schema)
+
+
+def _with_part(ask: Callable, part: int) -> Callable:
+    return lambda key, table, answers: ask(key, table, answers, part)
+
+
+def _share(count: int, part: int, parts: int) -> range:
+    """The buckets of one range."""
+    return range(count * part // parts, count * (part + 1) // parts)
 
 
 def _earlier_texts(rows: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from ledgerops.llm import repeats
 # of 20 at most.
 PERIOD = 21
 COVER = (0, 1, 6, 8, 18)
+RANGES = 3  # of suffix buckets, sorted one after the other to bound disk
 
 
 def _cover_sample(length: int):
@@ -63,7 +64,7 @@ def dedup_substrings(docs: DataFrame, length: int = 50) -> DataFrame:
         raise ValueError(f"length must be over {PERIOD}")
     scheme = repeats.Scheme(
         length, length - PERIOD + 1, repeats.byte_units, _cover_sample(length), _near_ties,
-        rate=len(COVER) / PERIOD,
+        rate=len(COVER) / PERIOD, ranges=RANGES,
     )
     schema = "doc_id long, n_bytes long, spans array<struct<from:long,to:long>>, kept binary"
     return repeats.dedup(docs, scheme, _report, schema)
