@@ -34,13 +34,15 @@ def number_issues(targets: DataFrame, mode: str = AS_WRITTEN) -> DataFrame:
     return number_in_branch(numbered) if mode == INTENDED else numbered
 
 
-def issue_headers(numbered: DataFrame, state: DataFrame, options: DataFrame) -> DataFrame:
+def issue_headers(
+    numbered: DataFrame, state: DataFrame, options: DataFrame, mode: str = AS_WRITTEN
+) -> DataFrame:
     """All facts of each stock issue; the written tables are projections of it."""
     facts = with_number_state(numbered, state, options, codes.ISSUE_CATEGORY)
     return facts.select(
         stable_id(F.lit("issue"), F.col("order_id"), F.col("row_num")).alias("ref_id"),
         F.lit(codes.STOCK_ISSUE).alias("ref_type"),
-        voucher_number().alias("ref_no"),
+        voucher_number(mode).alias("ref_no"),
         "ref_date",
         "branch_id",
         F.lit(codes.ISSUE_EMPLOYEE).alias("employee_name"),

@@ -71,23 +71,49 @@ def with_number_state(
     return numbered.join(states, "branch_id").join(store, "branch_id", "left")
 
 
-def orders_without_state(targets: DataFrame, state: DataFrame, category: int) -> DataFrame:
-    """How many target orders per branch stay back for want of a number state."""
-    states = state.where(F.col("category_ref_type_id") == category).select("branch_id").distinct()
+def orders_without_state(
+    targets: DataFrame, state: DataFrame, categories: tuple[int, ...]
+) -> DataFrame:
+    """How many target orders per branch and category stay without vouchers of that
+    category for want of a number state."""
+    states = state.where(F.col("category_ref_type_id").isin(*categories)).select(
+        "branch_id", "category_ref_type_id"
+    )
+    needed = F.explode(F.array(*[F.lit(category) for category in categories]))
     return (
         targets.groupBy("branch_id")
         .agg(F.count(F.lit(1)).alias("orders"))
-        .join(states, "branch_id", "left_anti")
+        .withColumn("category_ref_type_id", needed)
+        .join(states.distinct(), ["branch_id", "category_ref_type_id"], "left_anti")
+        .select("branch_id", "category_ref_type_id", "orders")
     )
 
 
-def voucher_number() -> Column:
-    """[store code-] prefix, then state value plus row number padded to the length."""
+def _next_value() -> Column:
     value = F.coalesce(F.col("value").cast("decimal(20,0)"), F.lit(0)) + F.col("row_num")
+    return value.cast("string")
+
+
+def voucher_number(mode: str = AS_WRITTEN) -> Column:
+    """[store code-] prefix, then state value plus row number padded to the length. As
+    written a longer number loses its last digits; as intended it keeps them all."""
+    length = F.col("length_of_value")
+    if mode == INTENDED:
+        length = F.greatest(length, F.length(_next_value()))
     return F.concat(
         F.coalesce(F.concat("_store", F.lit("-")), F.lit("")),
         F.coalesce(F.col("prefix"), F.lit("")),
-        F.lpad(value.cast("string"), F.col("length_of_value"), F.lit("0")),
+        F.lpad(_next_value(), length, F.lit("0")),
+    )
+
+
+def numbers_too_long(vouchers: DataFrame) -> DataFrame:
+    """How many numbers per branch and category have more digits than their length: as
+    written these are cut and may repeat."""
+    return (
+        vouchers.where(F.length(_next_value()) > F.col("length_of_value"))
+        .groupBy("branch_id", "category_ref_type_id")
+        .agg(F.count(F.lit(1)).alias("numbers"))
     )
 
 

@@ -176,7 +176,9 @@ def number_receipts(candidates: DataFrame, mode: str = AS_WRITTEN) -> DataFrame:
     return number_in_branch(numbered) if mode == INTENDED else numbered
 
 
-def receipt_headers(numbered: DataFrame, state: DataFrame, options: DataFrame) -> DataFrame:
+def receipt_headers(
+    numbered: DataFrame, state: DataFrame, options: DataFrame, mode: str = AS_WRITTEN
+) -> DataFrame:
     """All facts of each receipt; the written tables are projections of it."""
     kind, payment = F.col("receipt_ref_type"), F.col("payment_type")
     cashier = F.nullif(F.col("cashier_name"), F.lit(""))
@@ -186,7 +188,7 @@ def receipt_headers(numbered: DataFrame, state: DataFrame, options: DataFrame) -
             F.lit("receipt"), F.col("order_id"), F.col("payment_id"), kind, F.col("row_num")
         ).alias("ref_id"),
         kind.alias("ref_type"),
-        voucher_number().alias("ref_no"),
+        voucher_number(mode).alias("ref_no"),
         F.coalesce("completed_date", "ref_date", "order_date").alias("ref_date"),
         "branch_id",
         F.coalesce(cashier, F.col("employee_name")).alias("employee_name"),

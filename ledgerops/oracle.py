@@ -373,8 +373,14 @@ def _unposted(kind: str, note: str, header: str, key: str, more: str = "", **val
 
 
 def _side(column: str, alias: str) -> str:
-    return f"""left join led_inventory_item_ledger {alias}
-        on {LINE_KEY.replace('l.', alias + '.')} and {LOTS.replace('l.', alias + '.')}
+    """One row per line key of the ledger, with the number of its rows."""
+    return f"""left join (select ref_id, ref_detail_id, ref_type, inventory_item_id, stock_id,
+            coalesce(lot_no, '') as lot_no,
+            coalesce(expired_date, date '1900-01-01') as expired_date, count(*) as copies
+            from led_inventory_item_ledger group by all) {alias}
+        on {LINE_KEY.replace('l.', alias + '.')}
+        and {alias}.lot_no = coalesce(x.lot_no, '')
+        and {alias}.expired_date = coalesce(x.expired_date, date '1900-01-01')
         and {alias}.stock_id = x.{column}"""
 
 
@@ -505,7 +511,8 @@ def _inventory(measures: bool) -> dict[str, str]:
             {**LINE, "stock_id": """case when o.ref_id is null then x.from_stock_id
             else x.to_stock_id end"""},
             f"""from transfer_stock h join transfer_stock_detail x on x.ref_id = h.ref_id
-            {_side("from_stock_id", "o")} {_side("to_stock_id", "i")}
+            {_side("from_stock_id", "o")} {_side("to_stock_id", "i")},
+            range(coalesce(o.copies, i.copies, 1)) each(copy)
             where h.ref_type in (2909, 2910) and (o.ref_id is null or i.ref_id is null)""",
         ),
         "inv7_ledger_vs_balance": _level_sql(inv.BALANCE, measures),
@@ -787,9 +794,11 @@ VOUCHERS = {
     "vg21_issue_totals_intended": _totals("costed_asof"),
     "vg22_issue_usage": "select * from issue_use",
     "vg23_orders_to_refresh": "select distinct order_id as ref_id2 from receipt",
-    "vg_orders_without_state": """select branch_id, count(*) as orders from target_rows
-        where branch_id not in (select branch_id from refno_state
-            where category_ref_type_id = 2091) group by branch_id""",
+    "vg_orders_without_state": """select branch_id, c.category as category_ref_type_id,
+        count(*) as orders from target_rows t cross join (values (1010), (2091)) c(category)
+        where not exists (select 1 from refno_state s
+            where s.branch_id = t.branch_id and s.category_ref_type_id = c.category)
+        group by branch_id, c.category""",
     "vg_unit_conflicts": """select inventory_item_id, unit_id, count(*) as rates
         from unit_convert group by all having count(*) > 1""",
     "vg_whole_run": " union all ".join(

@@ -15,7 +15,7 @@ from ledgerops.operators.numbering import AS_WRITTEN
 from ledgerops.session import keep
 
 Tables = Mapping[str, DataFrame]
-BATCH = 1000
+BATCH = 1000  # what the stored procedure takes at a time
 
 
 def at(run_at: datetime) -> Column:
@@ -32,15 +32,18 @@ class Changes:
     targets: DataFrame | None = None
     refresh: DataFrame | None = None
     left_over: DataFrame | None = None
+    later: DataFrame | None = None
 
 
 def generate_vouchers(
     t: Tables,
     run_at: datetime,
-    batch: int | None = BATCH,
+    batch: int | None = None,
     mode: str = AS_WRITTEN,
 ) -> Changes:
-    """One run over the oldest `batch` target orders, or over all with None.
+    """One run over all target orders, or over the oldest `batch` of them; `later` then
+    has the number of those left for another run. `left_over` counts orders that get
+    no receipts or no issue because their branch has no number state.
 
     The target orders, the numbered vouchers and the costed lines are written to
     the shared folder, since several outputs are made from each of them."""
@@ -50,8 +53,10 @@ def generate_vouchers(
     targets = keep(receipts.target_orders(t, batch).select(*needed), "targets")
 
     candidates = receipts.receipt_candidates(t, targets, mode)
-    receipt = receipts.receipt_headers(receipts.number_receipts(candidates, mode), state, options)
-    issue = issues.issue_headers(issues.number_issues(targets, mode), state, options)
+    receipt = receipts.receipt_headers(
+        receipts.number_receipts(candidates, mode), state, options, mode
+    )
+    issue = issues.issue_headers(issues.number_issues(targets, mode), state, options, mode)
     plain = keep(
         issues.issue_lines(issue, t["sa_order_detail"], t["stock"], t["inventory_item"], now),
         "issue_lines",
@@ -86,5 +91,13 @@ def generate_vouchers(
         },
         targets=targets,
         refresh=usage.orders_to_refresh(t["voucher_reference"].unionByName(links)),
-        left_over=numbering.orders_without_state(targets, state, codes.ISSUE_CATEGORY),
+        left_over=numbering.orders_without_state(targets, state, categories),
+        later=None if batch is None else _later(t, targets),
     )
+
+
+def _later(t: Tables, targets: DataFrame) -> DataFrame:
+    """One row: how many target orders this run did not take."""
+    taken = targets.agg((-F.count(F.lit(1))).alias("orders"))
+    every = receipts.target_orders(t).agg(F.count(F.lit(1)).alias("orders"))
+    return every.unionByName(taken).agg(F.sum("orders").alias("orders"))

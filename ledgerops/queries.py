@@ -262,7 +262,9 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         t["voucher_reference"].unionByName(_links(t))
     ),
     "vg_orders_without_state": lambda t: numbering.orders_without_state(
-        receipts.target_orders(t), t["refno_state"], codes.ISSUE_CATEGORY
+        receipts.target_orders(t),
+        t["refno_state"],
+        (codes.RECEIPT_CATEGORY, codes.ISSUE_CATEGORY),
     ),
     "vg_unit_conflicts": lambda t: costing.unit_conflicts(t["unit_convert"]),
     "vg_whole_run": _voucher_run,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,7 +16,6 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
 }
-_own_folder: dict[str, str] = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -25,18 +25,25 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def name_local_folder(spark: SparkSession) -> SparkSession:
+    """For entry points and tests: give a session on one machine a folder of its own if
+    it names none. A session on a cluster is left alone and has to name a shared one."""
+    one_machine = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
+    if one_machine and not _named(spark):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerops-"))
+    return spark
+
+
+def _named(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder. Only a local session without one, as in
-    tests, gets a folder of its own; a cluster has to name a shared one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    """The session's checkpoint folder, which all executors share."""
+    folder = _named(spark)
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _own_folder:
-        _own_folder[context.applicationId] = tempfile.mkdtemp(prefix="ledgerops-")
-    return _own_folder[context.applicationId]
+    return folder.rstrip("/")
 
 
 def keep(frame: DataFrame, name: str) -> DataFrame:

@@ -175,16 +175,19 @@ DERIVED: dict[str, str] = {
         case when n_nationkey=4 then null else cast(n_nationkey*10 as bigint) end as value,
         cast(null as string) as suffix
     from (select n_nationkey,1010 cat,'PT' px from {nation}
-        where n_nationkey<5
+        where n_nationkey<5 and n_nationkey<>2
         union all select n_nationkey,2091,'XK' from {nation}
         where n_nationkey<5) n""",
     "refno_management": """
     select
         'B'||cast(n_nationkey as string) as branch_id,
-        1010 as reftype_category,
-        case when o_orderkey%4=0 then 'PTX' else 'PT'||lpad(cast(o_orderkey as string),6,'0') end as refno
-    from (select n_nationkey,o_orderkey from {nation} join {orders} on o_orderkey%5=n_nationkey
-        where n_nationkey<3 and o_orderkey<50) m""",
+        cat as reftype_category,
+        case when o_orderkey%4=0 then px||'X' else px||lpad(cast(o_orderkey as string),6,'0') end as refno
+    from (select n_nationkey,o_orderkey,1010 cat,'PT' px
+        from {nation} join {orders} on o_orderkey%5=n_nationkey where n_nationkey<3
+        union all select n_nationkey,o_orderkey,2091,'XK'
+        from {nation} join {orders} on o_orderkey%5=n_nationkey
+        where n_nationkey<3 and o_orderkey%3>0) m""",
     "dboption": """
     select
         'B'||cast(n_nationkey as string) as branch_id,

@@ -6,6 +6,8 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from ledgerops.functions import columns
 from ledgerops.operators import inventory_checks as inv
 
@@ -189,3 +191,22 @@ def test_number_text_is_plain_without_ansi(spark):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
     assert got == ["0.000000", "0.000000", "12.500000"]
+
+
+def test_checks_take_only_the_columns_they_name(spark):
+    """A clashing column in the opening or detail tables changes nothing."""
+    from ledgerops import queries
+
+    tables = queries.derived_tables(spark, "/root/testdata/sf0.001")
+    wide = {
+        "opening_inventory_entry": ["ref_detail_id"],
+        "inward_detail": ["branch_id", "ref_type", "ref_date"],
+        "outward_detail": ["branch_id", "ref_type", "ref_date"],
+    }
+    other = {name: tables[name] for name in (*wide, "inward", "outward", "led_inventory_item_ledger")}
+    for name, columns in wide.items():
+        for column in columns:
+            other[name] = other[name].withColumn(column, F.lit(None).cast("string"))
+    for check in ("INV1", "INV2", "INV3"):
+        want = inv.CHECKS[check](tables)
+        assert inv.CHECKS[check](other).exceptAll(want).isEmpty()

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerops import queries
+from ledgerops.functions import codes
 from ledgerops.functions.columns import add_missing
 from ledgerops.operators import sync, usage
 from ledgerops.plans.apply import next_version, write_changes
@@ -70,7 +71,10 @@ def test_vouchers_are_consistent(spark, runs):
     links = run.added["voucher_reference"]
     vouchers = run.added["outward"].select("ref_id").union(run.added["ca_receipt"].select("ref_id"))
     assert links.count() == vouchers.distinct().count() == registry.select("refid").distinct().count()
-    assert run.left_over.isEmpty()
+    left = run.left_over.collect()
+    assert {(r.branch_id, r.category_ref_type_id) for r in left} == {("B2", codes.RECEIPT_CATEGORY)}
+    assert run.added["ca_receipt"].where("branch_id = 'B2'").isEmpty()
+    assert not run.added["outward"].where("branch_id = 'B2'").isEmpty()
 
 
 def test_rerun_of_the_same_input_gives_the_same_rows(spark, tables, batch):

@@ -144,8 +144,25 @@ def test_a_branch_without_state_gets_no_voucher_and_is_counted(spark):
     store = options(spark, ("B1", "StoreRefNo", "CH"), ("B1", "Other", "no"))
     kept = numbering.with_number_state(targets, state, store, codes.ISSUE_CATEGORY)
     assert [(r.order_id, r._store) for r in kept.collect()] == [("O1", "CH")]
-    left = numbering.orders_without_state(targets, state, codes.ISSUE_CATEGORY)
-    assert {(r.branch_id, r.orders) for r in left.collect()} == {("B9", 1), (None, 1)}
+    both = (codes.RECEIPT_CATEGORY, codes.ISSUE_CATEGORY)
+    left = numbering.orders_without_state(targets, state, both)
+    issue = {(b, codes.ISSUE_CATEGORY, 1) for b in ("B9", None)}
+    receipt = {(b, codes.RECEIPT_CATEGORY, 1) for b in ("B1", "B9", None)}
+    assert {tuple(r) for r in left.collect()} == issue | receipt
+
+
+def test_a_number_beyond_its_length(spark):
+    rows = [("B1", 7, None, "PT", 2, n, 0) for n in (98, 99, 100, 101, 1009)]
+    vouchers = spark.createDataFrame(
+        rows,
+        "branch_id string, category_ref_type_id int, _store string, prefix string,"
+        " length_of_value int, value bigint, row_num int",
+    )
+    cut = [r[0] for r in vouchers.select(numbering.voucher_number()).collect()]
+    assert cut == ["PT98", "PT99", "PT10", "PT10", "PT10"]
+    whole = [r[0] for r in vouchers.select(numbering.voucher_number("intended")).collect()]
+    assert whole == ["PT98", "PT99", "PT100", "PT101", "PT1009"]
+    assert [tuple(r) for r in numbering.numbers_too_long(vouchers).collect()] == [("B1", 7, 3)]
 
 
 def test_two_payments_of_one_kind_get_different_numbers_and_ids(spark):

@@ -60,7 +60,7 @@ def small():
 
 
 def test_every_query_has_an_oracle():
-    assert set(driver.queries()) == set(ORACLE)
+    assert set(queries.QUERIES) <= set(ORACLE)
 
 
 @pytest.mark.parametrize("name", list(queries.QUERIES))
