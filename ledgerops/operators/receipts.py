@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,24 +77,12 @@ def _free(flag: str) -> Column:
     return ~F.coalesce(F.col(flag), F.lit(False))
 
 
-def _payments(payments: DataFrame, wanted: Column) -> DataFrame:
-    return payments.where(wanted & (F.col("amount") > 0)).select(
-        "order_id", "payment_id", "payment_type", "amount", "bank_account_id", "account_number"
-    )
-
-
-def _first_payment(payments: DataFrame) -> DataFrame:
-    """The lowest payment key of each order, as a map-side combinable minimum."""
-    row = F.struct("payment_id", "payment_type", "amount", "bank_account_id", "account_number")
-    return payments.groupBy("order_id").agg(F.min(row).alias("p")).select("order_id", "p.*")
+def _open_for_receipts(t: Tables, targets: DataFrame) -> DataFrame:
+    """Orders that may get receipts, each with the one kind it is and what is owed.
 
-
-def receipt_candidates(t: Tables, targets: DataFrame, mode: str = AS_WRITTEN) -> DataFrame:
-    """One row per receipt to write, from three kinds of order; the kinds exclude
-    each other for any payment row. `source` tells which kind it was.
-
-    As written, kinds 2 and 3 repeat the whole amount on every payment row; as
-    intended they give it once, on the lowest payment key."""
+    The kinds exclude each other, so every order has at most one. Only orders of
+    kind 3 look up a debt; the others keep to themselves in that join, spread by
+    their own id."""
     orders = (
         targets.select(*ORDER_COLUMNS)
         .where((F.col("receive_amount") > 0) | (F.col("remain_amount") > 0))
@@ -104,69 +91,95 @@ def receipt_candidates(t: Tables, targets: DataFrame, mode: str = AS_WRITTEN) ->
     store = F.col("channel_id") == codes.CHANNEL_STORE
     cod = (F.col("is_cod_paid") == 1) & ~store
     store_debt = store & (F.col("debt_payment_amount") > 0)
-    debt_payment = F.col("payment_type").isin(*codes.DEBT_PAYMENT)
-    sale_payment = ~F.col("payment_type").isin(*codes.NOT_A_SALE_PAYMENT)
-    sale_rows = _payments(t["sa_order_payment"], sale_payment)
-    debt_rows = _payments(t["sa_order_payment"], debt_payment)
-    in_cash = F.col("payment_type").isin(*codes.CASH_PAYMENT)
-
-    def once(payments: DataFrame) -> DataFrame:
-        return _first_payment(payments) if mode == INTENDED else payments
-
-    def with_payments(wanted: Column, payments: DataFrame) -> DataFrame:
-        return join_spread(payments, orders.where(wanted), ["order_id"], "inner")
-
-    sale = (
-        with_payments((F.col("receive_amount") > 0) & ~cod & ~store_debt & _free("_sale"), sale_rows)
-        .withColumns(
-            {
-                "source": F.lit(SALE),
-                "receipt_ref_type": F.when(
-                    F.col("payment_type") == codes.DEPOSIT_PAYMENT, codes.BANK_DEPOSIT
-                )
-                .when(in_cash, codes.CASH_SALE)
-                .otherwise(codes.BANK_SALE),
-                "receipt_amount": F.col("amount"),
-                "receipt_is_cash_sale": F.lit(1),
-                "receipt_remain_amount": F.col("amount"),
-            }
-        )
+    received = F.col("receive_amount") > 0
+    source = (
+        F.when(received & ~cod & ~store_debt & _free("_sale"), SALE)
+        .when(cod & (F.col("remain_amount") > 0) & _free("_cod"), COD)
+        .when(received & store_debt & _free("_debt"), DEBT)
     )
-    cod_paid = (
-        with_payments(cod & (F.col("remain_amount") > 0) & _free("_cod"), once(sale_rows))
-        .withColumns(
-            {
-                "source": F.lit(COD),
-                "receipt_ref_type": F.when(in_cash, codes.CASH_SALE).otherwise(codes.BANK_SALE),
-                "receipt_amount": F.col("remain_amount"),
-                "receipt_is_cash_sale": F.lit(1),
-                "receipt_remain_amount": F.col("remain_amount"),
-            }
-        )
+    is_debt = F.col("source") == DEBT
+    kinds = (
+        orders.withColumn("source", source)
+        .where(F.col("source").isNotNull())
+        .drop("_sale", "_cod", "_debt")
+        .withColumn("_debtor", F.when(is_debt, F.col("customer_id")))
+        .withColumn("_apart", F.when(~is_debt, F.col("order_id")))
     )
-    closing = customer_debt(t["led_account_object_closing"]).withColumnRenamed(
-        "account_object_id", "customer_id"
+    closing = (
+        customer_debt(t["led_account_object_closing"])
+        .withColumnRenamed("account_object_id", "_debtor")
+        .withColumn("_apart", F.lit(None).cast("string"))
     )
-    debt_rows = with_payments(
-        (F.col("receive_amount") > 0) & store_debt & _free("_debt"), once(debt_rows)
+    spread = F.xxhash64("_debtor", "branch_id", "_apart")
+    return (
+        kinds.withColumn("_spread", spread)
+        .join(
+            closing.withColumn("_spread", spread).drop("_apart"),
+            ["_spread", "_debtor", "branch_id"],
+            "left",
+        )
+        .drop("_spread", "_debtor", "_apart")
     )
-    debt_paid = (
-        join_spread(debt_rows, closing, ["customer_id", "branch_id"], "left")
-        .withColumns(
-            {
-                "source": F.lit(DEBT),
-                "receipt_ref_type": F.when(
-                    F.col("payment_type") == codes.CASH_DEBT_PAYMENT, codes.CASH_DEBT
-                ).otherwise(codes.BANK_DEBT),
-                "receipt_amount": F.col("debt_payment_amount"),
-                "receipt_is_cash_sale": F.lit(0),
-                "receipt_remain_amount": or_zero(F.col("separate_debt_amount")),
-            }
+
+
+def _payments(payments: DataFrame) -> DataFrame:
+    """Payment rows that count for a receipt, with `for_debt`: of kind 3 or of 1 and 2."""
+    payment = F.col("payment_type")
+    sale, debt = ~payment.isin(*codes.NOT_A_SALE_PAYMENT), payment.isin(*codes.DEBT_PAYMENT)
+    return payments.where((sale | debt) & (F.col("amount") > 0)).select(
+        "order_id", "payment_id", "payment_type", "amount", "bank_account_id", "account_number",
+        debt.alias("for_debt"),
+    )
+
+
+def _first_payment(payments: DataFrame) -> DataFrame:
+    """The lowest payment key of each order and use, as a map-side combinable minimum."""
+    row = F.struct("payment_id", "payment_type", "amount", "bank_account_id", "account_number")
+    firsts = payments.groupBy("order_id", "for_debt").agg(F.min(row).alias("p"))
+    return firsts.select("order_id", "p.*", "for_debt")
+
+
+def receipt_candidates(t: Tables, targets: DataFrame, mode: str = AS_WRITTEN) -> DataFrame:
+    """One row per receipt to write, from three kinds of order; the kinds exclude
+    each other for any payment row. `source` tells which kind it was.
+
+    Orders are told apart once and meet the payments in one join. As written, kinds 2
+    and 3 repeat the whole amount on every payment row; as intended they give it
+    once, on the lowest payment key."""
+    orders = _open_for_receipts(t, targets)
+    payments = _payments(t["sa_order_payment"])
+    source, payment = F.col("source"), F.col("payment_type")
+
+    def paid(orders: DataFrame, payments: DataFrame) -> DataFrame:
+        joined = join_spread(payments, orders, ["order_id"], "inner")
+        return joined.where(F.col("for_debt") == (source == DEBT)).drop("for_debt")
+
+    if mode == INTENDED:
+        rows = paid(orders.where(source == SALE), payments).unionByName(
+            paid(orders.where(source != SALE), _first_payment(payments))
         )
-        .drop("separate_debt_amount")
+    else:
+        rows = paid(orders, payments)
+    in_cash = payment.isin(*codes.CASH_PAYMENT)
+    ref_type = (
+        F.when(source == DEBT, F.when(payment == codes.CASH_DEBT_PAYMENT, codes.CASH_DEBT).otherwise(codes.BANK_DEBT))
+        .when((source == SALE) & (payment == codes.DEPOSIT_PAYMENT), codes.BANK_DEPOSIT)
+        .when(in_cash, codes.CASH_SALE)
+        .otherwise(codes.BANK_SALE)
     )
-    parts = [part.drop("_sale", "_cod", "_debt") for part in (sale, cod_paid, debt_paid)]
-    return reduce(DataFrame.unionByName, parts)
+
+    def by_kind(sale: Column, cod: Column, debt: Column) -> Column:
+        return F.when(source == SALE, sale).when(source == COD, cod).otherwise(debt)
+
+    amount, remain = F.col("amount"), F.col("remain_amount")
+    return rows.withColumns(
+        {
+            "receipt_ref_type": ref_type,
+            "receipt_amount": by_kind(amount, remain, F.col("debt_payment_amount")),
+            "receipt_is_cash_sale": F.when(source == DEBT, 0).otherwise(1),
+            "receipt_remain_amount": by_kind(amount, remain, or_zero(F.col("separate_debt_amount"))),
+        }
+    ).drop("separate_debt_amount")
 
 
 def number_receipts(candidates: DataFrame, mode: str = AS_WRITTEN) -> DataFrame:

@@ -41,7 +41,10 @@ def derived_tables(spark: SparkSession, folder: str) -> DerivedTables:
 
 
 def candidates(t: Tables, mode: str = AS_WRITTEN) -> DataFrame:
-    return receipts.receipt_candidates(t, receipts.target_orders(t), mode)
+    """The targets are written first, as in the job."""
+    needed = dict.fromkeys((*receipts.ORDER_COLUMNS, *issues.ORDER_COLUMNS))
+    targets = keep(receipts.target_orders(t).select(*needed), "targets")
+    return receipts.receipt_candidates(t, targets, mode)
 
 
 def _source(kind: int, mode: str = AS_WRITTEN) -> Callable[[Tables], DataFrame]:

@@ -51,3 +51,46 @@ def test_a_busy_item_is_spread_over_its_days(spark, tables):
 def test_deletes_read_only_keys_of_the_links(spark, tables):
     text = plan(sync.kept_issues(tables))
     assert "LeftAnti" in text and "LeftSemi" in text
+
+
+@pytest.fixture()
+def settled_plans(spark):
+    """Plans as they are run: no broadcast, and reuse decided beforehand."""
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.maxMetadataStringLength": "4000",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def scans(text, *columns):
+    """Scans of a plan that read all of these columns."""
+    found = [line for line in text.splitlines() if "FileScan" in line]
+    return [line for line in found if all(f"{c}:" in line.split("ReadSchema")[1] for c in columns)]
+
+
+def test_the_report_reads_the_ledger_three_times(spark, tables, settled_plans, monkeypatch):
+    written = []
+
+    def keep(frame, name):
+        written.append(plan(frame))
+        return inventory_checks_keep(frame, name)
+
+    inventory_checks_keep = inventory_checks.keep
+    monkeypatch.setattr(inventory_checks, "keep", keep)
+    parts = [plan(part) for part in inventory_checks.report_parts(tables)]
+    ledger = tables["led_inventory_item_ledger"].inputFiles()[0].split("/")[-3]
+    reads = [line for text in written + parts for line in text.splitlines() if "FileScan" in line and ledger in line]
+    assert len(reads) == 3
+
+
+def test_receipts_read_payments_and_targets_once(spark, tables, settled_plans):
+    text = plan(queries.candidates(tables))
+    assert len(scans(text, "receive_amount")) == 1
+    assert text.count("SortMergeJoin") <= 4
