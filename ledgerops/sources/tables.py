@@ -12,14 +12,6 @@ from ledgerops.session import keep
 from ledgerops.sources.derived import DERIVED, SOURCE_TABLES, depends_on
 from ledgerops.sources.schemas import SCHEMAS
 
-# Derived tables that take a shuffle of `lineitem` or `orders` to build.
-STORED = frozenset(
-    "li inward outward transfer_stock led_inventory_item_ledger led_inventory_item_balance"
-    " led_inventory_item_balance_lot led_inventory_item_balance_stock_location"
-    " led_inventory_item_closing led_inventory_item_closing_lot led_order_item_ledger".split()
-)
-
-
 class ParquetTables(Mapping[str, DataFrame]):
     """One Parquet folder or file per table under `folder`, read when asked for."""
 
@@ -42,8 +34,8 @@ class ParquetTables(Mapping[str, DataFrame]):
 class DerivedTables(Mapping[str, DataFrame]):
     """The retail tables derived from the TPC-H-like files in `folder`.
 
-    The ones that need a shuffle are written once to the shared folder, so that
-    a job reads them as it would read a user's stored tables."""
+    Each is written once to the shared folder, so that a job reads it as it would
+    read a user's stored table."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -58,9 +50,7 @@ class DerivedTables(Mapping[str, DataFrame]):
         if name not in self.frames:
             inputs = {other: self[other] for other in depends_on(name)}
             frame = wall_clock(self.spark.sql(DERIVED[name], **inputs))
-            if name in STORED:
-                frame = keep(frame, name)
-            self.frames[name] = add_missing(frame, SCHEMAS.get(name, {}))
+            self.frames[name] = add_missing(keep(frame, name), SCHEMAS.get(name, {}))
         return self.frames[name]
 
     def __iter__(self) -> Iterator[str]:
