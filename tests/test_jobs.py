@@ -1,5 +1,6 @@
 """Whole jobs: written tables, reruns, usage counters and synchronisation."""
 
+from dataclasses import replace
 from datetime import datetime
 from decimal import Decimal
 
@@ -10,11 +11,10 @@ from ledgerops import queries
 from ledgerops.functions import codes
 from ledgerops.functions.columns import add_missing
 from ledgerops.operators import sync, usage
-from ledgerops.plans.apply import next_version, write_changes
+from ledgerops.plans.apply import PublishedTables, next_version, published, write_changes
 from ledgerops.plans.generate import at, generate_vouchers
 from ledgerops.plans.synchronise import synchronise
 from ledgerops.sources.schemas import SCHEMAS
-from ledgerops.sources.tables import ParquetTables
 
 SMALL = "/root/testdata/sf0.001"
 RUN_AT = datetime(2026, 1, 1)
@@ -84,21 +84,47 @@ def test_rerun_of_the_same_input_gives_the_same_rows(spark, tables, batch):
         assert one.added[name].count() == two.added[name].count()
 
 
-def test_written_tables_after_a_run(spark, tables, batch, tmp_path):
-    folder, following = str(tmp_path / "v1"), str(tmp_path / "v2")
-    changed = ("voucher_reference", "refno_state", "object_reference", "outward", "ca_receipt")
-    for name in (*changed, "refno_management", "outward_detail"):
+CHANGED = (
+    "voucher_reference", "refno_state", "object_reference", "outward", "ca_receipt",
+    "refno_management", "outward_detail",
+)
+
+
+@pytest.fixture(scope="module")
+def before(tables, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("before")
+    for name in CHANGED:
         tables[name].write.parquet(f"{folder}/{name}")
-    run = batch
-    expected = {name: frame.count() for name, frame in run.added.items()}
-    paths = write_changes(run, folder, following)
-    assert paths["refno_state"] == f"{following}/refno_state"
-    assert paths["outward"] == f"{folder}/outward"
-    for name, rows in expected.items():
-        before = tables[name].count() if name in tables else 0
-        assert spark.read.parquet(paths[name]).count() == before + rows
-    read = ParquetTables(spark, folder, ("voucher_reference",))["voucher_reference"]
-    assert read.where("ref_type1 = 2900 and modified_by is not null").count() == 100
+    return {name: [f"{folder}/{name}"] for name in CHANGED}
+
+
+def test_written_tables_after_a_run(spark, tables, batch, before, tmp_path):
+    paths = write_changes(spark, batch, before, str(tmp_path / "run"))
+    assert published(spark, str(tmp_path / "run")) == paths
+    assert paths["refno_state"] == [f"{tmp_path}/run/refno_state/whole"]
+    assert paths["outward"] == [*before["outward"], f"{tmp_path}/run/outward/added"]
+    after = PublishedTables(spark, paths)
+    for name, frame in batch.added.items():
+        old = tables[name].count() if name in tables else 0
+        assert after[name].count() == old + frame.count()
+    assert after["voucher_reference"].where("ref_type1 = 2900 and modified_by is not null").count() == 100
+    held = PublishedTables(spark, before)
+    assert all(held[name].count() == tables[name].count() for name in CHANGED)
+
+
+def test_a_run_that_fails_midway_changes_nothing_and_can_be_done_again(spark, tables, batch, before, tmp_path):
+    broken = batch.added["voucher_reference"].withColumn("ref_id1", F.raise_error(F.lit("lost")).cast("string"))
+    failing = replace(batch, added=batch.added | {"voucher_reference": broken})
+    with pytest.raises(Exception, match="lost"):
+        write_changes(spark, failing, before, str(tmp_path / "first"))
+    assert (tmp_path / "first" / "outward" / "added" / "_SUCCESS").exists()
+    assert published(spark, str(tmp_path / "first")) is None
+    held = PublishedTables(spark, before)
+    again = generate_vouchers({**tables, **held}, RUN_AT, 100)
+    after = PublishedTables(spark, write_changes(spark, again, before, str(tmp_path / "second")))
+    for name in CHANGED:
+        expected = next_version(held[name], batch, name).select(*after[name].columns)
+        assert after[name].exceptAll(expected).isEmpty() and expected.exceptAll(after[name]).isEmpty()
 
 
 USE = "primary_object_type int, primary_object_id string, reference_object_type int, used_count decimal(21,6)"
