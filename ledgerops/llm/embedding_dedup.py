@@ -90,30 +90,54 @@ def nearest_lists(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def neighbour_pairs(lists: DataFrame, rows: DataFrame, threshold: float) -> DataFrame:
     """Pairs of neighbours of one row, lists read in both directions. A neighbour keeps
-    its LIST nearest among the others, and all beyond the threshold."""
+    its LIST nearest among the others. Those linked beyond that keep a spanning forest:
+    it joins what all their links would join, with fewer pairs than rows.
+
+    A row that very many lists name has its neighbours dealt to parts of about
+    ROWS_PER_BLOCK, each a group of its own; another round deals them otherwise."""
     ends = lists.select("node", "other").unionByName(lists.select(F.col("other").alias("node"), F.col("node").alias("other")))
-    around = join_spread(ends.distinct(), rows.select(F.col("id").alias("other"), "vector"), ["other"], "inner")
+    ends = ends.distinct()
+    sizes = ends.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_BLOCK).cast("int").alias("parts"))
+    crowded = sizes.where(F.col("parts") > 1)
+    part = F.pmod(F.xxhash64("other", "node"), F.coalesce("parts", F.lit(1))).cast("int")
+    ends = join_spread(ends, crowded, ["node"], "left").select("node", part.alias("part"), "other")
+    around = join_spread(ends, rows.select(F.col("id").alias("other"), "vector"), ["other"], "inner")
     tasks = partitions(rows.sparkSession)
-    ordered = around.select("node", "other", "vector").repartition(tasks, "node").sortWithinPartitions("node")
+    group = F.xxhash64("node", "part").alias("group")
+    ordered = around.select(group, "other", "vector").repartition(tasks, "group").sortWithinPartitions("group")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, ids, vectors in _groups(batches):
-            for at in range(0, len(ids), ROWS_PER_BLOCK):
-                own = ids[at : at + ROWS_PER_BLOCK]
-                near = vectors[at : at + ROWS_PER_BLOCK] @ vectors.T
-                near[np.arange(len(own)), at + np.arange(len(own))] = -2
-                keep = near >= threshold
-                if len(ids) > LIST:
-                    top = np.argpartition(-near, LIST - 1, axis=1)[:, :LIST]
-                    np.put_along_axis(keep, top, True, axis=1)
-                else:
-                    keep[:] = True
-                i, j = np.nonzero(keep & (near > -2))
-                yield _pairs(own[i], ids[j], near[i, j])
+            near = vectors @ vectors.T
+            np.fill_diagonal(near, -2)
+            keep = near > -2
+            if len(ids) > LIST:
+                keep[:] = False
+                top = np.argpartition(-near, LIST - 1, axis=1)[:, :LIST]
+                np.put_along_axis(keep, top, True, axis=1)
+                keep[_forest(near >= threshold)] = True
+            i, j = np.nonzero(keep & (near > -2))
+            yield _pairs(ids[i], ids[j], near[i, j])
 
     return ordered.mapInArrow(run, _PAIRS)
 
 
+def _forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of a spanning forest of a symmetric boolean matrix, breadth first."""
+    seen = ~linked.any(axis=1)
+    ends, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    while not seen.all():
+        front = np.array([int(np.argmin(seen))])
+        seen[front] = True
+        while len(front):
+            fresh = np.flatnonzero(linked[front].any(axis=0) & ~seen)
+            ends.append(fresh)
+            starts.append(front[linked[front][:, fresh].argmax(axis=0)] if len(fresh) else fresh)
+            seen[fresh] = True
+            front = fresh
+    return np.concatenate(starts), np.concatenate(ends)
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(key, ids, vectors) of runs with one key in rows (key, id, vector)."""
     key, ids, parts = None, [], []
@@ -150,11 +174,13 @@ def audit_pairs(rows: DataFrame, threshold: float) -> DataFrame:
 
 
 def descend(rows: DataFrame, width: int, threshold: float) -> DataFrame:
-    """Pairs (a, b, cosine) of rows (id, vector of length one) at or over `threshold`.
+    """Pairs (a, b, cosine) of rows (id, vector of length one) at or over `threshold`
+    that join all rows which links join; not every link is among them.
 
-    A round compares neighbours of neighbours and keeps each row's best. A list with
-    nothing under the threshold left in it is saturated and doubles. Rounds end when
-    one finds few new links and the audited rows have RECALL of their links."""
+    A round compares neighbours of neighbours and keeps each row's best, and the links
+    that join groups. Once a round finds few new links, the audited links are held
+    against the components: RECALL of them have to lie within one. If fewer do, lists
+    with nothing under the threshold left in them are saturated and double."""
     truth = stored(audit_pairs(rows, threshold), "audit")
     wanted = truth.count()
     pairs = stored(first_pairs(rows, width).groupBy("a", "b").agg(F.max("cosine").alias("cosine")), "pairs")
@@ -169,11 +195,12 @@ def descend(rows: DataFrame, width: int, threshold: float) -> DataFrame:
             found.unionByName(kept).unionByName(links).groupBy("a", "b").agg(F.max("cosine").alias("cosine")), "pairs"
         )
         state = pairs.agg(F.count_if(F.col("cosine") >= threshold)).first()[0]
-        right = truth.join(pairs, ["a", "b"], "left_semi").count()
         settled = state - known <= max(2, 0.001 * state)
-        if round_ + 1 >= LEAST_ROUNDS and settled and right >= RECALL * wanted:
-            break
         known = state
+        if round_ + 1 < LEAST_ROUNDS or not settled:
+            continue
+        if _joined(truth, components(pairs.where(F.col("cosine") >= threshold))) >= RECALL * wanted:
+            break
         full = lists.groupBy("node").agg(F.min("cosine").alias("worst"), F.count(F.lit(1)).alias("n"))
         sizes = stored(
             full.where(F.col("worst") >= threshold).select("node", (F.col("n") * 2).cast("int").alias("size")), "sizes"
@@ -181,6 +208,13 @@ def descend(rows: DataFrame, width: int, threshold: float) -> DataFrame:
     return pairs.where(F.col("cosine") >= threshold).unionByName(truth).groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
 
 
+def _joined(truth: DataFrame, roots: DataFrame) -> int:
+    """How many pairs lie within one component."""
+    for end in ("a", "b"):
+        truth = truth.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end)
+    return truth.where(F.col("a_root") == F.col("b_root")).count()
+
+
 def count_links(members: DataFrame, threshold: float) -> DataFrame:
     """(id, links) from rows (root, id, copies, vector): how many rows of the same
     root lie at or over the threshold, copies counted.
