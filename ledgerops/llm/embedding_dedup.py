@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,8 +18,11 @@ from ledgerops.llm.graph import components
 LIST = 8  # neighbours that a list holds at first
 ORDERS = 6  # random orders from which the first lists come
 AHEAD = 4  # rows behind a row in such an order that it is compared with
-LEAST_ROUNDS, MOST_ROUNDS = 2, 12
-AUDITED = 256  # vectors that are compared with all others after a round
+FAR_AHEAD = 32  # the same in the orders that a missed audit adds
+LEAST_ROUNDS, MOST_ROUNDS = 2, 40
+AUDITED, MOST_AUDITED = 512, 8_192  # vectors that are compared with all others
+ENOUGH = 300  # audited vectors with LIST links or fewer
+AUDITED_LINKS = 64  # of one vector
 RECALL = 0.98  # of the audited links
 ROWS_PER_BLOCK = 1_024
 SEED = 11
@@ -37,11 +41,12 @@ def _pairs(a: np.ndarray, b: np.ndarray, cosine: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), pa.array(cosine)], schema=_PAIRS_ARROW)
 
 
-def first_pairs(rows: DataFrame, width: int) -> DataFrame:
-    """Pairs of rows that stand near each other in random orders. An order sorts by the
-    signs of random projections, most of them first, then by one projection; a hot
-    vector is spread over its neighbours in the order, never gathered."""
-    draw = np.random.default_rng(SEED)
+def first_pairs(rows: DataFrame, width: int, seed: int = SEED, ahead: int = AHEAD, least: float = -2.0) -> DataFrame:
+    """Pairs of rows that stand near each other in random orders, with a cosine of
+    `least` or more. An order sorts by the signs of random projections, most of them
+    first, then by one projection; a hot vector is spread over its neighbours in the
+    order, never gathered."""
+    draw = np.random.default_rng(seed)
     planes = draw.normal(size=(ORDERS, 25, width))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,13 +68,13 @@ def first_pairs(rows: DataFrame, width: int) -> DataFrame:
             fresh = len(ids)
             ids = np.concatenate([ids, own_ids])
             vectors = own if vectors is None else np.concatenate([vectors, own])
-            for gap in range(1, AHEAD + 1):
+            for gap in range(1, ahead + 1):
                 ends = np.arange(max(gap, fresh), len(ids))
                 if len(ends):
                     cosine = np.einsum("ij,ij->i", vectors[ends], vectors[ends - gap])
-                    far = ids[ends] != ids[ends - gap]
+                    far = (ids[ends] != ids[ends - gap]) & (cosine >= least)
                     yield _pairs(ids[ends - gap][far], ids[ends][far], cosine[far])
-            ids, vectors = ids[-AHEAD:], vectors[-AHEAD:]
+            ids, vectors = ids[-ahead:], vectors[-ahead:]
 
     placed = rows.mapInArrow(place, "number int, spot double, id long, vector array<double>")
     tasks = partitions(rows.sparkSession)
@@ -133,20 +138,85 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray
         yield key, np.concatenate(ids), np.concatenate(parts)
 
 
-def audit_pairs(rows: DataFrame, threshold: float) -> DataFrame:
-    """All links of the first AUDITED rows by a hash of their id, by comparison with all."""
-    few = rows.orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(AUDITED).toPandas()
-    ids, probes = few["id"].to_numpy(), np.array(few["vector"].tolist())
+def audit_links(rows: DataFrame, threshold: float, audited: int) -> DataFrame:
+    """(probe, few, a, b, cosine): links of the first `audited` rows by a hash of their
+    id, by comparison with all; `few` marks rows with LIST links or fewer. Of more than
+    AUDITED_LINKS links of one row as many are drawn."""
+    some = rows.orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(audited).toPandas()
+    ids, probes = some["id"].to_numpy(), np.array(some["vector"].tolist())
+
+    def thinned(place: np.ndarray, other: np.ndarray, cosine: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        mark = (other.astype(np.uint64) + np.uint64(SEED)) * np.uint64(0x9E3779B97F4A7C15)
+        order = np.lexsort((mark ^ (mark >> np.uint64(32)), place))
+        ranked = place[order]
+        keep = order[np.arange(len(order)) - np.searchsorted(ranked, ranked) < AUDITED_LINKS]
+        return place[keep], other[keep], cosine[keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        links = np.zeros(len(ids), np.int64)
         for batch in batches:
             own = batch.column(0).to_numpy()
-            near = _vectors(batch.column(1)) @ probes.T
+            near = _vectors(batch.column(1)) @ probes.T if len(own) else np.zeros((0, len(ids)))
             i, j = np.nonzero(near >= threshold)
-            other = own[i] != ids[j]
-            yield _pairs(own[i][other], ids[j][other], near[i, j][other])
+            i, j = i[own[i] != ids[j]], j[own[i] != ids[j]]
+            links += np.bincount(j, minlength=len(ids))
+            fresh = (j, own[i], near[i, j])
+            held = thinned(*(np.concatenate(x) for x in zip(held, fresh)))
+        place, other, cosine = held
+        first = np.diff(place, prepend=-1) != 0
+        columns = [ids[place], other, cosine, np.where(first, links[place], 0)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["probe", "other", "cosine", "links"])
+
+    found = rows.mapInArrow(run, "probe long, other long, cosine double, links long")
+    each = Window.partitionBy("probe")
+    drawn = found.withColumn("few", F.sum("links").over(each) <= LIST).withColumn(
+        "turn", F.row_number().over(each.orderBy(F.xxhash64(F.lit(SEED), "other"), "other"))
+    )
+    return drawn.where(F.col("turn") <= AUDITED_LINKS).select(
+        "probe", "few", F.least("probe", "other").alias("a"), F.greatest("probe", "other").alias("b"), "cosine"
+    )
 
-    return rows.mapInArrow(run, _PAIRS).groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
+
+def audit(rows: DataFrame, threshold: float) -> tuple[DataFrame, int]:
+    """Audited links, and how many vectors with few links are still wanted. The draw
+    grows until it has ENOUGH of them, or all rows, or MOST_AUDITED."""
+    total = rows.count()
+    drawn, most = min(AUDITED, total), min(MOST_AUDITED, total)
+    while True:
+        truth = stored(audit_links(rows, threshold, drawn), "audit")
+        held = truth.where("few").agg(F.count_distinct("probe")).first()[0]
+        if held >= ENOUGH or drawn >= most:
+            return truth, max(0, ENOUGH - held) if drawn < total else 0
+        drawn = min(most, math.ceil(1.25 * drawn * ENOUGH / held)) if held else most
+
+
+def planted(rows: DataFrame, width: int, threshold: float, number: int) -> tuple[list[int], DataFrame, DataFrame]:
+    """Vectors made to stand just over the threshold from `number` rows of the table:
+    their ids, which no row has, their rows and their links as audited ones."""
+    spark, draw = rows.sparkSession, np.random.default_rng(SEED)
+    some = rows.orderBy(F.xxhash64(F.lit(SEED + 1), "id"), "id").limit(number).toPandas()
+    base = np.array(some["vector"].tolist())
+    aside = draw.normal(size=base.shape)
+    aside -= (aside * base).sum(axis=1, keepdims=True) * base
+    norm = np.linalg.norm(aside, axis=1, keepdims=True)
+    cosine = draw.uniform(threshold, (1 + threshold) / 2, size=(len(base), 1))
+    made = cosine * base + np.sqrt(1 - cosine**2) * aside / norm
+    ids = [0]
+    while len(set(ids)) < len(base) or not rows.where(F.col("id").isin(ids)).isEmpty():
+        ids = draw.integers(-(2**63), 2**63 - 1, len(base)).tolist()
+    ghosts = spark.createDataFrame(list(zip(ids, made.tolist())), "id long, vector array<double>")
+    near = (made * base).sum(axis=1).tolist()
+    links = [(i, True, min(i, j), max(i, j), c) for i, j, c in zip(ids, some["id"].tolist(), near) if c >= threshold]
+    return ids, ghosts, spark.createDataFrame(links, "probe long, few boolean, a long, b long, cosine double")
+
+
+def recall(truth: DataFrame, pairs: DataFrame) -> float:
+    """The share of its audited links that an audited vector has, on average over those
+    with few links and over the others; the smaller of the two."""
+    met = truth.join(pairs.select("a", "b", F.lit(1.0).alias("met")), ["a", "b"], "left")
+    shares = met.groupBy("probe", "few").agg(F.avg(F.coalesce("met", F.lit(0.0))).alias("share"))
+    return min([r.share for r in shares.groupBy("few").agg(F.avg("share").alias("share")).collect()], default=1.0)
 
 
 def descend(rows: DataFrame, width: int, threshold: float) -> DataFrame:
@@ -154,9 +224,16 @@ def descend(rows: DataFrame, width: int, threshold: float) -> DataFrame:
 
     A round compares neighbours of neighbours and keeps each row's best. A list with
     nothing under the threshold left in it is saturated and doubles. Rounds end when
-    one finds few new links and the audited rows have RECALL of their links."""
-    truth = stored(audit_pairs(rows, threshold), "audit")
-    wanted = truth.count()
+    one finds few new links and the audited vectors have RECALL of their links; while
+    they do not, links from more random orders join in. Where vectors with few links
+    are too rare to audit ENOUGH of them, planted ones take part and go at the end.
+    A recall still missed after MOST_ROUNDS is an error."""
+    truth, wanted = audit(rows, threshold)
+    seen, ghosts = truth, []
+    if wanted and threshold < 1:
+        ghosts, more, links = planted(rows, width, threshold, wanted)
+        rows = stored(rows.unionByName(more), "rows")
+        truth = stored(truth.unionByName(links), "audit")
     pairs = stored(first_pairs(rows, width).groupBy("a", "b").agg(F.max("cosine").alias("cosine")), "pairs")
     sizes = rows.sparkSession.createDataFrame([], "node long, size int")
     known = -1
@@ -165,20 +242,24 @@ def descend(rows: DataFrame, width: int, threshold: float) -> DataFrame:
         found = neighbour_pairs(lists, rows, threshold)
         links = pairs.where(F.col("cosine") >= threshold)
         kept = lists.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), "cosine")
-        pairs = stored(
-            found.unionByName(kept).unionByName(links).groupBy("a", "b").agg(F.max("cosine").alias("cosine")), "pairs"
-        )
+        every = found.unionByName(kept).unionByName(links)
+        if round_ >= LEAST_ROUNDS and right < RECALL:
+            every = every.unionByName(first_pairs(rows, width, SEED + round_, FAR_AHEAD, threshold))
+        pairs = stored(every.groupBy("a", "b").agg(F.max("cosine").alias("cosine")), "pairs")
         state = pairs.agg(F.count_if(F.col("cosine") >= threshold)).first()[0]
-        right = truth.join(pairs, ["a", "b"], "left_semi").count()
+        right = recall(truth, pairs)
         settled = state - known <= max(2, 0.001 * state)
-        if round_ + 1 >= LEAST_ROUNDS and settled and right >= RECALL * wanted:
+        if round_ + 1 >= LEAST_ROUNDS and settled and right >= RECALL:
             break
         known = state
         full = lists.groupBy("node").agg(F.min("cosine").alias("worst"), F.count(F.lit(1)).alias("n"))
         sizes = stored(
             full.where(F.col("worst") >= threshold).select("node", (F.col("n") * 2).cast("int").alias("size")), "sizes"
         )
-    return pairs.where(F.col("cosine") >= threshold).unionByName(truth).groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
+    if right < RECALL:
+        raise RuntimeError(f"{right:.3f} of the audited links found in {MOST_ROUNDS} rounds, {RECALL} wanted")
+    pairs = pairs.where((F.col("cosine") >= threshold) & ~F.col("a").isin(ghosts) & ~F.col("b").isin(ghosts))
+    return pairs.unionByName(seen.select("a", "b", "cosine")).groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
 
 
 def count_links(members: DataFrame, threshold: float) -> DataFrame:

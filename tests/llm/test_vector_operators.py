@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import brute
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from ledgerops.llm import ann, embedding_dedup
 from ledgerops.llm.graph import components
@@ -100,3 +102,24 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == brute.reach(nodes, [x for x in links if x[0] != x[1]])
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_isolated_pairs_of_a_long_table(spark, tmp_path):
+    draw = np.random.default_rng(4)
+    base = draw.normal(size=(50_000, 64))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    for a in range(0, 500, 2):  # 1 % of the vectors are linked, each with one other
+        aside = base[a + 1] - (base[a + 1] @ base[a]) * base[a]
+        cosine = draw.uniform(0.951, 0.97)
+        base[a + 1] = cosine * base[a] + np.sqrt(1 - cosine**2) * aside / np.linalg.norm(aside)
+    ids = draw.permutation(len(base))
+    columns = [pa.array(ids), pa.FixedSizeListArray.from_arrays(pa.array(base.ravel()), 64).cast(pa.list_(pa.float64()))]
+    pq.write_table(pa.table(columns, ["vec_id", "embedding"]), tmp_path / "vectors.parquet", row_group_size=5_000)
+    got = embedding_dedup.near_duplicates(spark.read.parquet(str(tmp_path / "vectors.parquet"))).toPandas().set_index("vec_id")
+    assert len(got) == len(base) and got.index.is_unique
+    linked = got.loc[ids[:500], "n_links"].to_numpy()
+    print("links found:", linked.mean())
+    assert linked.mean() >= 0.97 and linked.max() == 1
+    roots = got.loc[ids[:500], "component_id"].to_numpy().reshape(-1, 2)
+    assert (roots[:, 0] == roots[:, 1])[linked[::2] > 0].all()
+    assert (got.loc[ids[500:], "n_links"] == 0).all()
