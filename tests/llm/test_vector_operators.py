@@ -67,6 +67,28 @@ def test_recall_of_the_index(spark, monkeypatch):
         assert all(np.isclose(score, truth[i]) for i, score in found)
 
 
+@pytest.mark.parametrize("varied", [False, True])
+def test_recall_beside_a_large_group_of_near_copies(spark, tmp_path, varied):
+    draw = np.random.default_rng(6)
+    base = draw.normal(size=(16_000, 64))
+    group = draw.permutation(len(base))[: len(base) // 3]
+    base[group] = base[group[0]] + 0.15 * draw.normal(size=(len(group), 64))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    if varied:
+        base *= draw.lognormal(0, 0.4, size=len(base))[:, None]
+    columns = [pa.array(np.arange(len(base))), pa.FixedSizeListArray.from_arrays(pa.array(base.ravel()), 64).cast(pa.list_(pa.float64()))]
+    pq.write_table(pa.table(columns, ["vec_id", "embedding"]), tmp_path / "vectors.parquet", row_group_size=2_000)
+    table = spark.read.parquet(str(tmp_path / "vectors.parquet"))
+    got = ann.nearest_neighbours(table, F.col("vec_id") % 50 == 0).toPandas().groupby("query_id")["vec_id"].agg(set)
+    near = base[::50] @ base.T
+    near[np.arange(len(near)), np.arange(0, len(base), 50)] = -np.inf
+    want = np.argpartition(-near, 20, axis=1)[:, :20]
+    hits = np.array([len(got[50 * k] & set(w.tolist())) / 20 for k, w in enumerate(want)])
+    outside = ~np.isin(np.arange(0, len(base), 50), group)
+    print("recall:", hits.mean(), "outside the group:", hits[outside].mean())
+    assert hits.mean() >= 0.9 and hits[outside].mean() >= 0.9
+
+
 def test_near_vectors(spark, vectors):
     got = embedding_dedup.near_duplicates(frame(spark, vectors + BAD)).collect()
     want = brute.near_vectors(vectors) | {i: (0, i) for i, _ in BAD}
