@@ -179,7 +179,7 @@ def nearest_neighbours(
     Blocks of up to LEAST_RERANKED rows are therefore searched exactly.
 
     Vectors that are null, all zero or hold missing or non-finite numbers take no part,
-    nor do rows without id or of another length than the first pivot. Equal ids are
+    nor do rows without id or of another length than most have. Equal ids are
     one vector: one of its rows counts. With fewer candidates all are returned. Other
     columns are ignored; an empty table gives no rows."""
     rows = stored(
@@ -189,14 +189,14 @@ def nearest_neighbours(
         "vectors",
     )
     spark = rows.sparkSession
-    first = rows.orderBy(F.xxhash64("id"), "id").limit(16 * PIVOTS).select("vector").toPandas()
+    widths = rows.groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), "width").first()
     schema = "query_id long, vec_id long, score double"
-    if first.empty:
+    if widths is None:
         return spark.createDataFrame([], schema).select("query_id", F.lit(1).alias("rank"), "vec_id", "score")
-    width = len(first["vector"][0])
-    distinct = list(dict.fromkeys(tuple(v) for v in first["vector"] if len(v) == width))
+    rows = rows.where(F.size("vector") == widths.width)
+    first = rows.orderBy(F.xxhash64("id"), "id").limit(16 * PIVOTS).select("vector").toPandas()
+    distinct = list(dict.fromkeys(tuple(v) for v in first["vector"]))
     pivots = spread(np.array(distinct), PIVOTS)
-    rows = rows.where(F.size("vector") == width)
     total, asked = rows.agg(F.count(F.lit(1)), F.count_if("asks")).first()
     blocks, parts = math.ceil(total / ROWS_PER_BLOCK), max(1, math.ceil(asked / QUERIES_PER_BLOCK))
     deal = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")

@@ -50,6 +50,16 @@ def test_neighbours_of_fewer_rows_than_asked_for(spark):
     assert ann.nearest_neighbours(frame(spark, []), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_a_vector_of_odd_length_takes_no_part(spark, vectors):
+    few = vectors[:60]
+    every = range(6_000_000, 6_000_400)
+    for first in spark.createDataFrame([(i,) for i in [*every, *(i for i, _ in few)]], "id long").orderBy(F.xxhash64("id")).take(1):
+        assert first.id in every  # the row whose id hashes first
+    got = answers(ann.nearest_neighbours(frame(spark, few + [(first.id, [1.0, 2.0])]), F.col("vec_id") % 2 == 0))
+    want = answers(ann.nearest_neighbours(frame(spark, few), F.col("vec_id") % 2 == 0))
+    assert want and got == want
+
+
 def test_recall_of_the_index(spark, monkeypatch):
     draw = np.random.default_rng(1)
     base = draw.normal(size=(4000, 32)).astype(np.float32)
