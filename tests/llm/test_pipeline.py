@@ -51,3 +51,51 @@ def test_oracles(spark):
     for name, sql in queries.ORACLES.items():
         got = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
         assert spark_bag(got) == duck_bag(con, sql)[0], name
+
+
+def test_run_against_plain_forms(spark, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    models, kept = [], {}
+    train, write = corpus_pipeline.toxicity.train, corpus_pipeline.stored
+
+    def noted_model(docs, labels):
+        models.append(train(docs, labels))
+        return models[-1]
+
+    def noted_stage(frame, name):
+        kept[name] = write(frame, name)
+        return kept[name]
+
+    monkeypatch.setattr(corpus_pipeline.toxicity, "train", noted_model)
+    monkeypatch.setattr(corpus_pipeline, "stored", noted_stage)
+    last = corpus_pipeline.run(spark, folder).toPandas()
+    docs = spark.read.parquet(f"{folder}/documents.parquet").toPandas()
+    stages = {name: frame.toPandas() for name, frame in kept.items()}
+
+    (model,) = models
+    scores = model.scores([(t or "").encode() for t in docs["text"]])
+    limits = [model.limits.get(lang or "", 0.5) for lang in docs["lang"]]
+    clean = docs[[s < limit for s, limit in zip(scores, limits)]]
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    rows = lambda frame: sorted(frame[columns].itertuples(index=False, name=None))
+    assert rows(stages["toxicity"]) == rows(clean) and 0 < len(clean) < len(docs)
+
+    want = brute.lines(list(zip(clean["doc_id"], clean["text"])))
+    lined = stages["line_dedup"]
+    assert {d: brute.sha(t.encode()) for d, t in zip(lined["doc_id"], lined["text"])} == {d: x[2] for d, x in want.items()}
+    roots = {root for _, root in brute.simhash(list(zip(lined["doc_id"], lined["text"]))).values()}
+    apart = stages["simhash_near_dedup"]
+    assert rows(apart) == rows(lined[lined["doc_id"].isin(roots)])
+
+    words = lambda frame: frame["text"].map(lambda t: len(brute.WORD.findall(t)))
+    mixed = stages["mixing"]
+    assert set(rows(mixed)) <= set(rows(apart)) and mixed["doc_id"].value_counts().max() <= 3
+    names = sorted(apart["source"].unique())
+    sizes = [int(words(apart[apart["source"] == name]).sum()) for name in names]
+    for name, goal in zip(names, brute.goals(sizes)):
+        taken = int(words(mixed[mixed["source"] == name]).sum())
+        assert abs(taken - goal) <= words(apart[apart["source"] == name]).max()
+
+    assert sorted(zip(last["doc_id"], last["decoded_sha256"])) == sorted(
+        (d, brute.sha(t.encode())) for d, t in zip(mixed["doc_id"], mixed["text"])
+    )
