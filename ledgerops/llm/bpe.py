@@ -11,14 +11,13 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerops.llm.common import Recent, text_of
 
-MOST_KEPT = 400_000
+MEMO_BYTES = 24_000_000
 LONGEST_KEPT = 64
 LONG = 256  # bytes from which a pre-token is merged by itself
-BYTES_AT_ONCE = 4_000_000
+BYTES_AT_ONCE = 1_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -40,7 +39,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        self.known = Recent(MOST_KEPT)
+        self.known = Recent(MEMO_BYTES)
         self.pairs = [ranks.get(bytes([a, b])) for a in range(256) for b in range(256)]
         self.bytes = np.array([ranks[bytes([a])] for a in range(256)], np.int64)
         self.barrier = max(ranks.values()) + 1
@@ -227,7 +226,45 @@ class Encoder:
         return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+class Decoder:
+    """Bytes of ids, from one list of token bytes by id."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
+
+    def decode(self, ids: bytes | None) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
+_coders: dict[tuple[str, str], tuple[Encoder, Decoder]] = {}
+
+
+def _coder(path: str, pattern: str, ranks) -> tuple[Encoder, Decoder]:
+    """One pair of tables for each Python worker; a memo in it is bounded by MEMO_BYTES."""
+    found = _coders.get((path, pattern))
+    if found is None:
+        found = _coders[path, pattern] = Encoder(ranks.value, pattern), Decoder(ranks.value)
+    return found
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], at_once: int) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of about `at_once` bytes; a longer text comes with what was before it."""
+    ids: list = []
+    texts: list[str] = []
+    size = 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            text = text.as_py()
+            ids.append(doc_id)
+            texts.append(text)
+            size += len(text)
+            if size >= at_once:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -238,39 +275,39 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     The rank file is read once on the driver; its size is bounded by the vocabulary.
     Null and empty texts have no ids. Repeated rows come back repeated. Other columns
     are ignored; an empty table gives no rows."""
-    shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+    return _coded(docs, path, pattern, False)
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """`encode` plus `decoded`, the bytes of the ids, both in one pass of one worker."""
+    return _coded(docs, path, pattern, True)
 
-    names = ["doc_id", "ids"]
+
+def _coded(docs: DataFrame, path: str, pattern: str, back: bool) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
+    names = ["doc_id", "ids", "decoded"] if back else ["doc_id", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _encoders.get((path, pattern))
-        if coder is None:
-            coder = _encoders[path, pattern] = Encoder(shared.value, pattern)
-        ids: list = []
-        texts: list[str] = []
-        size = 0
-        for batch in batches:
-            ids += batch.column(0).to_pylist()
-            texts += batch.column(1).to_pylist()
-            size += batch.column(1).nbytes
-            if size >= BYTES_AT_ONCE:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(coder.encode(texts), pa.binary())], names)
-                ids, texts, size = [], [], 0
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(coder.encode(texts), pa.binary())], names)
+        encoder, decoder = _coder(path, pattern, shared)
+        for doc_ids, texts in _grouped(batches, BYTES_AT_ONCE):
+            ids = encoder.encode(texts)
+            columns = [pa.array(doc_ids, pa.int64()), pa.array(ids, pa.binary())]
+            if back:
+                columns.append(pa.array(map(decoder.decode, ids), pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, "doc_id long, ids binary")
+    schema = "doc_id long, ids binary" + (", decoded binary" if back else "")
+    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """`encoded` (doc_id, ids) plus `decoded`, the bytes of the ids; null ids give none."""
-    tokens = sorted((rank, token) for token, rank in read_ranks(path).items())
-    shared = encoded.sparkSession.sparkContext.broadcast(dict(tokens))
+    shared = encoded.sparkSession.sparkContext.broadcast(read_ranks(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = shared.value.__getitem__
+        decoder = Decoder(shared.value)
         for batch in batches:
-            ids = [b"" if x is None else x for x in batch.column(1).to_pylist()]
-            texts = [b"".join(map(token, np.frombuffer(x, "<u4").tolist())) for x in ids]
+            texts = [decoder.decode(ids) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"]
             )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import zipfile
 from pathlib import Path
@@ -68,11 +69,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+ENTRY_BYTES = 120  # a dictionary slot and two object references, generously
+
+
 class Recent:
-    """A bounded memo: the newer half of what was put or asked for lately."""
+    """A memo of at most `most` bytes: the newer half of what was put or asked for lately.
+    Sizes are those of keys and values as Python objects, plus ENTRY_BYTES."""
 
     def __init__(self, most: int) -> None:
         self.most = most // 2
+        self.held = 0
         self.new: dict = {}
         self.old: dict = {}
 
@@ -85,6 +91,8 @@ class Recent:
         return value
 
     def put(self, key, value) -> None:
-        if len(self.new) >= self.most:
-            self.old, self.new = self.new, {}
+        size = sys.getsizeof(key) + sys.getsizeof(value) + ENTRY_BYTES
+        if self.held + size > self.most:
+            self.old, self.new, self.held = self.new, {}, 0
         self.new[key] = value
+        self.held += size

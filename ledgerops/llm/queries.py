@@ -57,7 +57,7 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
-    coded = bpe.decode(bpe.encode(_documents(spark, sf_dir), path, public_tokenizers.PATTERN), path)
+    coded = bpe.round_trip(_documents(spark, sf_dir), path, public_tokenizers.PATTERN)
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -14,7 +15,7 @@ from ledgerops.llm.common import Recent, text_of
 
 MARK = "▁"  # stands for a space in the model's pieces
 _PRETOKENS = re.compile(f"[ {MARK}]*[^ {MARK}]+|[ {MARK}]+")
-MOST_KEPT = 300_000
+MEMO_BYTES = 24_000_000
 LONGEST_KEPT = 64
 
 
@@ -42,14 +43,25 @@ class Pieces:
         return [len(found) if len(token) > 1 else self.space for token, found in zip(tokens, sizes)]
 
 
+_counters: dict[int, tuple[Pieces, Recent]] = {}
+
+
+def _counter(model: bytes) -> tuple[Pieces, Recent]:
+    """One model and memo for each Python worker; the memo is bounded by MEMO_BYTES."""
+    name = zlib.crc32(model)
+    if name not in _counters:
+        _counters[name] = Pieces(model), Recent(MEMO_BYTES)
+    return _counters[name]
+
+
 def count_tokens(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) for every row of `docs` (doc_id, text),
     with the SentencePiece BPE model at `path`.
 
     Every batch of documents makes its pre-token frequencies, asks the library once
     for each distinct pre-token that is not known yet, joins the numbers to the
-    frequencies and sums; ids are never kept. Known numbers are held for a bounded
-    count of short pre-tokens. There is no shuffle.
+    frequencies and sums; ids are never kept. Known numbers of short pre-tokens are held
+    by each Python worker, up to MEMO_BYTES. There is no shuffle.
 
     The model is read once on the driver and is bounded by its vocabulary. Null and
     empty texts have no tokens. Repeated rows come back repeated. Other columns are
@@ -58,7 +70,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 4096) -> DataFrame:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, known = Pieces(shared.value), Recent(MOST_KEPT)
+        pieces, known = _counter(shared.value)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             found = [frequencies(text) for text in texts]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import sys
 
 import brute
 import numpy as np
@@ -11,6 +12,7 @@ import pytest
 import sentencepiece
 import tiktoken
 from ledgerops.llm import bpe, line_dedup, mixing, queries, simhash, substring_dedup, suffix_dedup, token_counts, toxicity
+from ledgerops.llm.common import Recent
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -118,7 +120,9 @@ def test_line_dedup_keeps_the_first(spark):
 def test_bpe_round_trip(docs):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    coded = bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
+    coded = bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
+    apart = bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
+    assert coded.exceptAll(apart).isEmpty() and apart.exceptAll(coded).isEmpty()
     for doc, text in pairs(docs):
         row = by_id(coded.where(F.col("doc_id") == doc))[doc] if doc < 3 else None
         if row:
@@ -253,7 +257,7 @@ def test_odd_and_empty_tables(odd_docs, no_docs):
     model = toxicity.Classifier.new(2)
     runs = [
         simhash.near_duplicates, suffix_dedup.dedup_substrings, substring_dedup.dedup_windows, line_dedup.dedup_lines,
-        lambda d: bpe.decode(bpe.encode(d, RANKS, public_tokenizers.PATTERN), RANKS),
+        lambda d: bpe.round_trip(d, RANKS, public_tokenizers.PATTERN),
         lambda d: token_counts.count_tokens(d, MODEL), lambda d: toxicity.score(d, model), mixing.taken,
     ]
     for run in runs:
@@ -268,3 +272,14 @@ def test_equal_ids_take_nothing_from_each_other(spark):
     docs = spark.createDataFrame([(5, text), (5, text), (None, text), (4, None)], "doc_id long, text string")
     got = {(r.doc_id, r.n_removed) for r in substring_dedup.dedup_windows(docs).collect()}
     assert got == {(5, 0), (None, 60), (4, 0)}
+
+
+def test_memo_is_bounded_by_bytes():
+    memo = Recent(100_000)
+    for i in range(20_000):
+        memo.put(f"key {i}", b"x" * (i % 500))
+        if i % 3 == 0:
+            assert memo.get(f"key {i}") == b"x" * (i % 500)
+    held = [*memo.new.items(), *memo.old.items()]
+    assert sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in held) <= 100_000
+    assert memo.get("key 0") is None
