@@ -45,7 +45,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256) of every row that the mix gave."""
     prepare(spark)
     path = public_tokenizers.path(RANKS)
-    coded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    coded = bpe.round_trip(docs, path, public_tokenizers.PATTERN)
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         F.sha2("decoded", 256).alias("decoded_sha256"),
