@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerops.llm import (
-    ann, bpe, embedding_dedup, line_dedup, mixing, simhash, substring_dedup, suffix_dedup, token_counts, toxicity,
+    alignment, ann, bpe, embedding_dedup, line_dedup, mixing, simhash, substring_dedup, suffix_dedup, token_counts, toxicity,
 )
 from ledgerops.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 def _documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
@@ -76,11 +77,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "rejected")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECES)
+    return alignment.align(_documents(spark, sf_dir), *paths, public_tokenizers.PATTERN).documents
+
+
 QUERIES = {
     run.__name__: run
     for run in (
         op1_mixing, op2_simhash, op3_suffix_dedup, op4_substring_dedup, op5_line_dedup, op6_nearest_neighbours,
-        op7_embedding_dedup, op8_byte_bpe, op9_token_counts, op10_toxicity,
+        op7_embedding_dedup, op8_byte_bpe, op9_token_counts, op10_toxicity, op11_token_alignment,
     )
 }
 
