@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame
 
 from ledgerops.llm.common import Recent, text_of
 
-MEMO_BYTES = 24_000_000
+MEMO_BYTES = 32_000_000
 LONGEST_KEPT = 64
 LONG = 256  # bytes from which a pre-token is merged by itself
-BYTES_AT_ONCE = 1_000_000
+BYTES_AT_ONCE = 2_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

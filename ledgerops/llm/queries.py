@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerops.llm import (
-    alignment, ann, bpe, embedding_dedup, line_dedup, mixing, simhash, substring_dedup, suffix_dedup, token_counts, toxicity,
+    alignment, ann, bpe, embedding_dedup, line_dedup, mixing, resampling, simhash, substring_dedup, suffix_dedup, token_counts, toxicity,
 )
 from ledgerops.llm.common import table
 
@@ -82,17 +82,53 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(_documents(spark, sf_dir), *paths, public_tokenizers.PATTERN).documents
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.importance(
+        _documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), least=1, most=1, buckets=10_000, seed=2024,
+        percent=10, min_words=20,
+    )
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     run.__name__: run
     for run in (
         op1_mixing, op2_simhash, op3_suffix_dedup, op4_substring_dedup, op5_line_dedup, op6_nearest_neighbours,
-        op7_embedding_dedup, op8_byte_bpe, op9_token_counts, op10_toxicity, op11_token_alignment,
+        op7_embedding_dedup, op8_byte_bpe, op9_token_counts, op10_toxicity, op11_token_alignment, op12_importance_resampling,
     )
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_TOKENS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLES = {
+    "op12_importance_resampling": rf"""
+        WITH crcs AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda c, i: xor(c >> 1, (c & 1) * 3988292384))) AS tab),
+        words AS (SELECT doc_id, {_TOKENS} AS w FROM documents),
+        wanted AS (SELECT unnest({_TOKENS}) AS word FROM benchmark),
+        each AS (SELECT doc_id, unnest(w) AS word FROM words),
+        spelt AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM each UNION SELECT word FROM wanted)),
+        hashed AS (
+          SELECT word, xor(list_reduce([4294967295] || list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+                 lambda c, b: xor(c >> 8, tab[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket
+          FROM spelt, crcs),
+        s AS (SELECT bucket, count(*) AS n FROM each JOIN hashed USING (word) GROUP BY bucket),
+        t AS (SELECT bucket, count(*) AS n FROM wanted JOIN hashed USING (word) GROUP BY bucket),
+        sums AS (SELECT (SELECT count(*) FROM each)::DOUBLE AS s, (SELECT count(*) FROM wanted)::DOUBLE AS t),
+        gains AS (
+          SELECT b.bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * (sums.s + 10000)) / ((coalesce(s.n, 0) + 1)::DOUBLE * (sums.t + 10000))))::BIGINT AS gain
+          FROM (SELECT DISTINCT bucket FROM hashed) b LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket), sums),
+        weights AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM each JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+        scored AS (
+          SELECT d.doc_id, len(d.w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                 coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(d.doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+          FROM words d LEFT JOIN weights w USING (doc_id)),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+                          count(*) OVER (PARTITION BY n_features >= 20) AS n FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank
+        FROM placed""",
     "op5_line_dedup": r"""
         WITH lines AS (
           SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
