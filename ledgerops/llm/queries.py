@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerops.llm import (
-    alignment, ann, bpe, embedding_dedup, line_dedup, mixing, resampling, simhash, substring_dedup, suffix_dedup, token_counts, toxicity,
+    alignment, ann, bpe, decontamination, embedding_dedup, line_dedup, mixing, resampling, simhash, substring_dedup, suffix_dedup, token_counts, toxicity,
 )
 from ledgerops.llm.common import table
 
@@ -90,11 +90,20 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     run.__name__: run
     for run in (
         op1_mixing, op2_simhash, op3_suffix_dedup, op4_substring_dedup, op5_line_dedup, op6_nearest_neighbours,
         op7_embedding_dedup, op8_byte_bpe, op9_token_counts, op10_toxicity, op11_token_alignment, op12_importance_resampling,
+        op13_decontamination,
     )
 }
 
@@ -103,6 +112,22 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _TOKENS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES = {
+    "op13_decontamination": rf"""
+        WITH docs AS (SELECT doc_id, {_TOKENS} AS w FROM documents),
+        items AS (SELECT DISTINCT item_id, w, least(10, len(w)) AS width FROM (SELECT item_id, {_TOKENS} AS w FROM benchmark) WHERE len(w) > 0),
+        places AS (SELECT item_id, w, width, unnest(range(1, len(w) - width + 2)) AS place FROM items),
+        wanted AS (SELECT DISTINCT item_id, width, array_to_string(w[place:place + width - 1], ' ') AS key FROM places),
+        starts AS (SELECT doc_id, w, width, unnest(range(1, len(w) - width + 2)) AS place
+                   FROM docs, (SELECT DISTINCT width FROM items) WHERE len(w) >= width),
+        found AS (
+          SELECT s.doc_id, s.place, s.width, k.item_id FROM starts s
+          JOIN wanted k ON k.width = s.width AND k.key = array_to_string(s.w[s.place:s.place + s.width - 1], ' ')),
+        hit AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(place, place + width)) AS pos FROM found) GROUP BY doc_id),
+        named AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+                  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id)
+        SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(i.n, 0)::BIGINT AS n_items,
+               sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+        FROM docs d LEFT JOIN hit h USING (doc_id) LEFT JOIN named i USING (doc_id)""",
     "op12_importance_resampling": rf"""
         WITH crcs AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
             lambda c, i: xor(c >> 1, (c & 1) * 3988292384))) AS tab),
