@@ -235,10 +235,10 @@ def gains(corpus: DataFrame, target: DataFrame, buckets: int) -> DataFrame:
     every = corpus.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     both = every.join(corpus.select("bucket", F.col("n").alias("s")), "bucket", "left")
     both = both.join(target.select("bucket", F.col("n").alias("t")), "bucket", "left")
-    counts = both.select("bucket", *[F.coalesce(c, F.lit(0)).cast("double").alias(c) for c in ("s", "t")])
-    sums = counts.agg(F.sum("s").alias("all_s"), F.sum("t").alias("all_t"))
-    ratio = ((F.col("t") + 1) * (F.col("all_s") + buckets)) / ((F.col("s") + 1) * (F.col("all_t") + buckets))
-    return counts.join(F.broadcast(sums)).select("bucket", F.floor(F.lit(1000.0) * F.log(ratio)).alias("gain"))
+    counts = stored(both.select("bucket", *[F.coalesce(c, F.lit(0)).cast("double").alias(c) for c in ("s", "t")]), "counts")
+    all_s, all_t = counts.agg(F.sum("s"), F.sum("t")).first()
+    ratio = ((F.col("t") + 1) * F.lit(all_s + buckets)) / ((F.col("s") + 1) * F.lit(all_t + buckets))
+    return counts.select("bucket", F.floor(F.lit(1000.0) * F.log(ratio)).alias("gain"))
 
 
 def noise(doc_id: Column, seed: int) -> Column:
