@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -23,12 +23,26 @@ def at(run_at: datetime) -> Column:
     return F.lit(run_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
+@dataclass(frozen=True)
+class Edit:
+    """A change to some rows of a table. From any rows of it `touched` picks those that
+    change or go, and `rewritten` gives the next version; rows not touched pass through."""
+
+    touched: Callable[[DataFrame], DataFrame]
+    rewritten: Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class Changes:
-    """What one run adds to tables, and the tables it replaces."""
+    """What one run adds to tables, and the tables it replaces. A table in `replaced` may
+    also have an edit that gives the same rows from the files concerned (with what is to
+    be added to it in `inserted`), or rows that reading adds up with those stored."""
 
     added: dict[str, DataFrame]
     replaced: dict[str, DataFrame]
+    edits: dict[str, Edit] = field(default_factory=dict)
+    inserted: dict[str, DataFrame] = field(default_factory=dict)
+    deltas: dict[str, DataFrame] = field(default_factory=dict)
     targets: DataFrame | None = None
     refresh: DataFrame | None = None
     left_over: DataFrame | None = None
@@ -89,6 +103,7 @@ def generate_vouchers(
             ),
             "object_reference": usage.add_usage(t["object_reference"], counts, now, mode),
         },
+        deltas={"object_reference": usage.usage_delta(t["object_reference"], counts, now, mode)},
         targets=targets,
         refresh=usage.orders_to_refresh(t["voucher_reference"].unionByName(links)),
         left_over=numbering.orders_without_state(targets, state, categories),
