@@ -7,6 +7,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 MONEY = "decimal(21,6)"
 TOTAL = "decimal(38,6)"
@@ -78,17 +79,37 @@ def keys_of(frame: DataFrame, columns: Iterable[str]) -> DataFrame:
     return frame.select(*columns).distinct()
 
 
-def join_spread(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+HASH_SETTING = "spark.sql.legacy.collationAwareHashFunctions"
+
+
+def _collated(frame: DataFrame, on: Iterable[str]) -> bool:
+    """Whether a key column compares by anything but its bytes."""
+    kinds = [frame.schema[name].dataType for name in on]
+    return any(isinstance(kind, StringType) and kind.collation != "UTF8_BINARY" for kind in kinds)
+
+
+def join_spread(
+    left: DataFrame, right: DataFrame, on: list[str], how: str, apart: str | None = None
+) -> DataFrame:
     """A join that stays splittable when one key holds very many rows of `left`.
 
     Adaptive execution splits a hot partition only where both sides come straight
     from a shuffle made for the join. A side that is already laid out by the same
     keys, as after a grouping, would hide that; the hash as a further key gives
-    both sides a shuffle of their own. A side small enough is still broadcast."""
-    spread = F.xxhash64(*on)
+    both sides a shuffle of their own. A side small enough is still broadcast.
+
+    `apart` names a column of `left` that is set only where a key is null: it spreads
+    rows that have no partner. Keys under a collation are equal where their hashes are
+    only if the session hashes by collation (HASH_SETTING, which `tune` sets); without
+    that such keys take the plain join."""
+    aware = left.sparkSession.conf.get(HASH_SETTING, "false") == "true"
+    if not aware and (_collated(left, on) or _collated(right, on)):
+        return left.join(right, on, how)
+    keys = [F.col(name) for name in on]
+    # a null adds nothing to the hash, so keys without one hash alike on both sides
     return (
-        left.withColumn("_spread", spread)
-        .join(right.withColumn("_spread", spread), ["_spread", *on], how)
+        left.withColumn("_spread", F.xxhash64(*keys, *([F.col(apart)] if apart else [])))
+        .join(right.withColumn("_spread", F.xxhash64(*keys)), ["_spread", *on], how)
         .drop("_spread")
     )
 

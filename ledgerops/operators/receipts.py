@@ -105,21 +105,9 @@ def _open_for_receipts(t: Tables, targets: DataFrame) -> DataFrame:
         .withColumn("_debtor", F.when(is_debt, F.col("customer_id")))
         .withColumn("_apart", F.when(~is_debt, F.col("order_id")))
     )
-    closing = (
-        customer_debt(t["led_account_object_closing"])
-        .withColumnRenamed("account_object_id", "_debtor")
-        .withColumn("_apart", F.lit(None).cast("string"))
-    )
-    spread = F.xxhash64("_debtor", "branch_id", "_apart")
-    return (
-        kinds.withColumn("_spread", spread)
-        .join(
-            closing.withColumn("_spread", spread).drop("_apart"),
-            ["_spread", "_debtor", "branch_id"],
-            "left",
-        )
-        .drop("_spread", "_debtor", "_apart")
-    )
+    closing = customer_debt(t["led_account_object_closing"]).withColumnRenamed("account_object_id", "_debtor")
+    joined = join_spread(kinds, closing, ["_debtor", "branch_id"], "left", apart="_apart")
+    return joined.drop("_debtor", "_apart")
 
 
 def _payments(payments: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ SETTINGS = {
     # split a hot join partition even where that costs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # equal keys of a collation have equal hashes, which `join_spread` relies on
+    "spark.sql.legacy.collationAwareHashFunctions": "true",
 }
 
 
