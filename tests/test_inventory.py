@@ -1,5 +1,6 @@
 """Edge cases of the stock checks on literal rows."""
 
+import random
 from collections import Counter
 from datetime import date, datetime
 from decimal import Decimal
@@ -210,3 +211,41 @@ def test_checks_take_only_the_columns_they_name(spark):
     for check in ("INV1", "INV2", "INV3"):
         want = inv.CHECKS[check](tables)
         assert inv.CHECKS[check](other).exceptAll(want).isEmpty()
+
+
+def test_levels_together_equal_levels_apart(spark, small):
+    """With lots, expiries and locations missing, equal keys twice and null measures."""
+    apart = None
+    for level in inv.LEVELS:
+        found = inv.compare_level(small, level).select(*inv.FINDING)
+        apart = found if apart is None else apart.unionByName(found)
+    together = inv.level_findings(small)
+    assert together.columns == apart.columns and not apart.isEmpty()
+    assert together.exceptAll(apart).isEmpty() and apart.exceptAll(together).isEmpty()
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    draw = random.Random(5)
+    maybe = lambda *values: draw.choice([None, *values])
+    day = lambda: datetime(2024, 1, draw.randint(1, 3), draw.randint(0, 23))
+    expiry = lambda: maybe(date(1900, 1, 1), date(2025, 5, 5))
+    number = lambda: maybe(Decimal(0), Decimal(1), Decimal("2.5"))
+    keys = lambda: (maybe("I1", "I2", "I1"), maybe("B1", "B1"), draw.choice(["S1", "S2"]), maybe("", "L1"), expiry(), maybe("P1"))
+    key = "inventory_item_id string, branch_id string, stock_id string, lot_no string, expired_date date, stock_location_id string, "
+    daily = "inward_quantity {0}, inward_amount {0}, outward_quantity {0}, outward_amount {0}".format("decimal(21,6)")
+    ledger = [(*keys(), day(), number(), number(), number(), number()) for _ in range(400)]
+    t = {
+        "led_inventory_item_ledger": spark.createDataFrame(
+            ledger, key + "ref_date timestamp_ntz, " + daily.replace("inward_quantity", "main_inward_quantity", 1).replace("outward_quantity", "main_outward_quantity")
+        )
+    }
+    for level in inv.LEVELS:
+        if level.daily:
+            rows = [(str(i), *keys(), day(), number(), number(), number(), number()) for i in range(60)]
+            schema = f"{level.row_id} string, {key} ref_date timestamp_ntz, {daily}"
+        else:
+            rows = [(str(i), *keys(), number(), number()) for i in range(25)]
+            schema = f"{level.row_id} string, {key} quantity decimal(21,6), amount decimal(21,6)"
+        t[level.table] = spark.createDataFrame(rows, schema)
+    return t

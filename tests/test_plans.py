@@ -90,6 +90,19 @@ def test_the_report_reads_the_ledger_three_times(spark, tables, settled_plans, m
     assert len(reads) == 3
 
 
+def test_five_levels_share_one_exchange_of_the_ledger(spark, tables, settled_plans):
+    text = plan(inventory_checks.level_findings(tables))
+    ledger = tables["led_inventory_item_ledger"].inputFiles()[0].split("/")[-3]
+    lines = text.splitlines()
+    scan = [i for i, line in enumerate(lines) if "FileScan" in line and ledger in line]
+    assert len(scan) == 1
+    # above the scan: summed on the map side, dealt once, summed, then dealt to the join
+    above = [line for line in lines[: scan[0]] if re.search("Exchange|HashAggregate|SortMergeJoin", line)]
+    names = [re.search("Exchange|HashAggregate|SortMergeJoin", line).group() for line in above]
+    assert names[-3:] == ["HashAggregate", "Exchange", "HashAggregate"]
+    assert names.count("SortMergeJoin") == 1 and names.count("Exchange") == 2
+
+
 def test_receipts_read_payments_and_targets_once(spark, tables, settled_plans):
     text = plan(queries.candidates(tables))
     assert len(scans(text, "receive_amount")) == 1
