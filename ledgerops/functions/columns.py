@@ -54,6 +54,20 @@ def finding_key(check: str, *ids: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(check), *[part.cast("string") for part in ids]), 256)
 
 
+class MissingColumns(ValueError):
+    """Input tables lack columns that a job reads."""
+
+
+def require(frames: Mapping[str, DataFrame], needed: Mapping[str, Iterable[str]]) -> None:
+    """Raise unless every table has the columns needed of it; all that lack are named."""
+    lacking = {
+        name: sorted(set(columns) - set(frames[name].columns)) for name, columns in needed.items()
+    }
+    told = [f"{name}: {', '.join(columns)}" for name, columns in lacking.items() if columns]
+    if told:
+        raise MissingColumns("; ".join(told))
+
+
 def conform(frame: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     """The schema's columns in its order; a column the frame lacks is a typed null."""
     have = set(frame.columns)

@@ -107,11 +107,16 @@ def voucher_number(mode: str = AS_WRITTEN) -> Column:
     )
 
 
+def is_too_long() -> Column:
+    """Whether a number has more digits than its length."""
+    return F.length(_next_value()) > F.col("length_of_value")
+
+
 def numbers_too_long(vouchers: DataFrame) -> DataFrame:
     """How many numbers per branch and category have more digits than their length: as
     written these are cut and may repeat."""
     return (
-        vouchers.where(F.length(_next_value()) > F.col("length_of_value"))
+        vouchers.where(is_too_long())
         .groupBy("branch_id", "category_ref_type_id")
         .agg(F.count(F.lit(1)).alias("numbers"))
     )

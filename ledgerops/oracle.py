@@ -124,6 +124,11 @@ ISSUE_ORDER = "ref_date nulls first, ref_no nulls first, order_id"
 NUMBER = """case when d.option_value is null then '' else d.option_value || '-' end
     || coalesce(s.prefix, '')
     || lpad(cast(coalesce(s.value, 0) + n.row_num as varchar), s.length_of_value, '0')"""
+# as intended a number keeps all its digits
+NUMBER_KEPT = NUMBER.replace(
+    "s.length_of_value, '0'",
+    "cast(greatest(s.length_of_value, length(cast(coalesce(s.value, 0) + n.row_num as varchar))) as int), '0'",
+)
 STATE = """join refno_state s on s.branch_id = n.branch_id and s.category_ref_type_id = {}
     left join dboption d on d.branch_id = s.branch_id and d.option_id = 'StoreRefNo'"""
 STATE_COLUMNS = """s.category_ref_type_id, s.prefix, s.length_of_value, s.suffix, s.value,
@@ -771,6 +776,20 @@ VOUCHERS = {
     "vg9_voucher_numbers": """
         select branch_id, category_ref_type_id, order_id, ref_id, ref_no from receipt
         union all select branch_id, category_ref_type_id, order_id, ref_id, ref_no from issue""",
+    "vg9_voucher_numbers_intended": f"""
+        select n.branch_id, s.category_ref_type_id, n.order_id, n.row_num, {NUMBER_KEPT} as ref_no
+        from numbered_in_branch n {STATE.format(codes.RECEIPT_CATEGORY)}
+        union all
+        select n.branch_id, s.category_ref_type_id, n.order_id, n.row_num, {NUMBER_KEPT} as ref_no
+        from (select *, {_sequence(ISSUE_ORDER, True)} as row_num from target_rows) n
+        {STATE.format(codes.ISSUE_CATEGORY)}""",
+    "vg9_numbers_too_long": f"""
+        select n.branch_id, s.category_ref_type_id, count(*) as numbers
+        from (select branch_id, row_num, {codes.RECEIPT_CATEGORY} as category from numbered
+            union all select branch_id, row_num, {codes.ISSUE_CATEGORY} from issue_numbered) n
+        join refno_state s on s.branch_id = n.branch_id and s.category_ref_type_id = n.category
+        where length(cast(coalesce(s.value, 0) + n.row_num as varchar)) > s.length_of_value
+        group by all""",
     "vg10_receipt_headers": f"""
         select {_project(SCHEMAS['ca_receipt'], _receipt_values())} from receipt""",
     "vg11_receipt_lines": f"""

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerops.functions import codes
@@ -32,6 +32,22 @@ class Edit:
     rewritten: Callable[[DataFrame], DataFrame]
 
 
+class Figures:
+    """Counts that are taken by the pass that writes a frame, without reading it again."""
+
+    def __init__(self) -> None:
+        self._watches: dict[str, Observation] = {}
+
+    def watch(self, name: str) -> Observation:
+        self._watches[name] = Observation(name)
+        return self._watches[name]
+
+    def read(self) -> dict[str, int]:
+        """The counts, once the run is written; until then this waits. A frame that
+        turned out empty has none and counts nothing."""
+        return {name: n for watch in self._watches.values() for name, n in watch.get.items()}
+
+
 @dataclass(frozen=True)
 class Changes:
     """What one run adds to tables, and the tables it replaces. A table in `replaced` may
@@ -47,6 +63,7 @@ class Changes:
     refresh: DataFrame | None = None
     left_over: DataFrame | None = None
     later: DataFrame | None = None
+    figures: Figures = field(default_factory=Figures)
 
 
 def generate_vouchers(
@@ -57,7 +74,9 @@ def generate_vouchers(
 ) -> Changes:
     """One run over all target orders, or over the oldest `batch` of them; `later` then
     has the number of those left for another run. `left_over` counts orders that get
-    no receipts or no issue because their branch has no number state.
+    no receipts or no issue because their branch has no number state. `figures` counts,
+    in the passes that write the run, numbers that outgrow their length, prices and
+    amounts that their columns cannot hold, and units with several rates.
 
     The target orders, the numbered vouchers and the costed lines are written to
     the shared folder, since several outputs are made from each of them."""
@@ -78,7 +97,25 @@ def generate_vouchers(
     on_hand = costing.stock_on_hand(
         t["led_inventory_item_ledger"], costing.issue_points(plain), mode, priced_only=True
     )
-    lines = keep(costing.cost_lines(plain, on_hand, t["unit_convert"], mode), "costed_lines")
+    figures = Figures()
+    costed = costing.cost_lines(plain, on_hand, t["unit_convert"], mode, figures.watch("rates"))
+    lines = keep(
+        costed.observe(
+            figures.watch("lines"),
+            F.count_if("priced").alias("priced_lines"),
+            F.count_if("saturated").alias("saturated_lines"),
+        ),
+        "costed_lines",
+    )
+
+    def counted(vouchers: DataFrame, kind: str) -> DataFrame:
+        """Numbers written, and those longer than their length, which as written are cut."""
+        return vouchers.observe(
+            figures.watch(kind),
+            F.count(F.lit(1)).alias(f"{kind}_numbers"),
+            F.count_if(numbering.is_too_long()).alias(f"{kind}_numbers_too_long"),
+        )
+
 
     links = numbering.order_links(receipt, True, now).unionByName(
         numbering.order_links(issue, False, now)
@@ -90,9 +127,9 @@ def generate_vouchers(
     counts = usage.receipt_usage(receipt).unionByName(usage.issue_usage(issue, lines))
     return Changes(
         added={
-            "ca_receipt": receipts.receipt_rows(receipt, now),
+            "ca_receipt": receipts.receipt_rows(counted(receipt, "receipt"), now),
             "ca_receipt_detail": receipts.receipt_lines(receipt, now),
-            "outward": issues.with_totals(issues.issue_rows(issue, now), lines),
+            "outward": issues.with_totals(issues.issue_rows(counted(issue, "issue"), now), lines),
             "outward_detail": issues.line_rows(lines),
             "voucher_reference": links,
             "refno_management": registry,
@@ -108,6 +145,7 @@ def generate_vouchers(
         refresh=usage.orders_to_refresh(t["voucher_reference"].unionByName(links)),
         left_over=numbering.orders_without_state(targets, state, categories),
         later=None if batch is None else _later(t, targets),
+        figures=figures,
     )
 
 

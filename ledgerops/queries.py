@@ -119,6 +119,24 @@ def _voucher_numbers(t: Tables) -> DataFrame:
     return receipt_headers(t).select(*columns).unionByName(issue_headers(t).select(*columns))
 
 
+def _numbers_kept(t: Tables) -> DataFrame:
+    """Numbers as intended: counted per branch, and whole where they outgrow their length."""
+    columns = ["branch_id", "category_ref_type_id", "order_id", "row_num", "ref_no"]
+    state, options = t["refno_state"], t["dboption"]
+    numbered = receipts.number_receipts(candidates(t, INTENDED), INTENDED)
+    receipt = receipts.receipt_headers(numbered, state, options, INTENDED)
+    issue = issues.issue_headers(
+        issues.number_issues(receipts.target_orders(t), INTENDED), state, options, INTENDED
+    )
+    return receipt.select(*columns).unionByName(issue.select(*columns))
+
+
+def _too_long(t: Tables) -> DataFrame:
+    both = [receipt_headers(t), issue_headers(t)]
+    columns = ["branch_id", "category_ref_type_id", "length_of_value", "value", "row_num"]
+    return numbering.numbers_too_long(both[0].select(*columns).unionByName(both[1].select(*columns)))
+
+
 def _links(t: Tables) -> DataFrame:
     return numbering.order_links(receipt_headers(t), True, at(RUN_AT)).unionByName(
         numbering.order_links(issue_headers(t), False, at(RUN_AT))
@@ -242,6 +260,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "vg8_issue_sequence": lambda t: _issue_numbers(t, AS_WRITTEN),
     "vg8_issue_sequence_intended": lambda t: _issue_numbers(t, INTENDED),
     "vg9_voucher_numbers": _voucher_numbers,
+    "vg9_voucher_numbers_intended": _numbers_kept,
+    "vg9_numbers_too_long": _too_long,
     "vg10_receipt_headers": lambda t: receipts.receipt_rows(receipt_headers(t), at(RUN_AT)),
     "vg11_receipt_lines": lambda t: receipts.receipt_lines(receipt_headers(t), at(RUN_AT)),
     "vg12_receipt_usage": lambda t: usage.receipt_usage(receipt_headers(t)),

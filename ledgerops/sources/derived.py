@@ -172,7 +172,8 @@ DERIVED: dict[str, str] = {
         cat as category_ref_type_id,
         case when n_nationkey=3 then null else px end as prefix,
         6 as length_of_value,
-        case when n_nationkey=4 then null else cast(n_nationkey*10 as bigint) end as value,
+        case when n_nationkey=4 then null when n_nationkey=1 then cast(999990 as bigint)
+            else cast(n_nationkey*10 as bigint) end as value,
         cast(null as string) as suffix
     from (select n_nationkey,1010 cat,'PT' px from {nation}
         where n_nationkey<5 and n_nationkey<>2
@@ -228,9 +229,9 @@ DERIVED: dict[str, str] = {
     select
         'I'||cast(p_partkey as string) as inventory_item_id,
         'U1' as unit_id,
-        cast(12 as decimal(21,6)) as convert_rate
-    from {part}
-        where p_partkey%5=1""",
+        cast(rate as decimal(21,6)) as convert_rate
+    from (select p_partkey, 12 as rate from {part} where p_partkey%5=1
+        union all select p_partkey, 6 from {part} where p_partkey%35=1) u""",
     "opening_inventory_entry": """
     select
         'OP'||cast(p_partkey as string) as ref_id,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerops import queries
 from ledgerops.functions import codes
-from ledgerops.functions.columns import add_missing
+from ledgerops.functions.columns import MissingColumns, add_missing
 from ledgerops.operators import sync, usage
 from ledgerops.plans.apply import PublishedTables, next_version, published, write_changes
 from ledgerops.plans.generate import at, generate_vouchers
@@ -190,7 +190,7 @@ def test_a_stored_line_without_order_id_counts_as_missing(spark):
         [(o, d) for o, d in (("O1", "a"), ("O1", "b"), ("O1", "c"), ("O7", "d"), ("O1", "e"))],
         "order_id string, order_detail_id string",
     )
-    t["sa_order_detail"] = add_missing(lines, {"allocation_used_point": "decimal(21,6)"})
+    t["sa_order_detail"] = add_missing(lines, {**dict.fromkeys(sync.line_columns(), "string"), "allocation_used_point": "decimal(21,6)"})
     t["general_order_detail"] = spark.createDataFrame(
         [("O1", "a"), (None, "b"), (None, "c"), (None, "c"), ("O1", "c"), (None, None)],
         "order_id string, order_detail_id string",
@@ -220,3 +220,44 @@ def test_synchronised_twice_changes_nothing_more(spark, tables):
         .join(cancelled, F.col("ref_id2") == F.col("order_id"), "left_semi")
         .isEmpty()
     )
+
+
+def test_every_required_column_is_missed(spark, tables):
+    """Each column by itself; an optional one may lack and is null then."""
+    for name, columns in sync.contracts().items():
+        for column in sorted(columns):
+            with pytest.raises(MissingColumns, match=f"{name}: {column}$"):
+                synchronise({**tables, name: tables[name].drop(column)}, RUN_AT)
+    for column in sorted(sync.order_columns()):
+        with pytest.raises(MissingColumns, match=f"sa_order: {column}$"):
+            sync.missing_orders({**tables, "sa_order": tables["sa_order"].drop(column)}, at(RUN_AT))
+    for column in sorted(sync.line_columns()):
+        with pytest.raises(MissingColumns, match=f"sa_order_detail: {column}$"):
+            sync.missing_order_lines({**tables, "sa_order_detail": tables["sa_order_detail"].drop(column)}, at(RUN_AT))
+    fewer = {
+        **tables,
+        "sa_order": tables["sa_order"].drop(*sync.ORDER_OPTIONAL),
+        "sa_order_detail": tables["sa_order_detail"].drop(*sync.LINE_OPTIONAL),
+    }
+    made = sync.missing_orders(fewer, at(RUN_AT))
+    assert made.columns == list(sync.GENERAL_ORDER) and made.where("is_sign is not null or partner_object_id is not null").isEmpty()
+    assert sync.missing_order_lines(fewer, at(RUN_AT)).where("is_drug is not null").isEmpty()
+    assert made.count() == sync.missing_orders(tables, at(RUN_AT)).count()
+
+
+def test_figures_are_counted_by_the_passes_that_write(spark, tables, tmp_path):
+    """Numbers that outgrow their length, saturated amounts and units with several rates."""
+    run = generate_vouchers(tables, RUN_AT, 300)
+    base = {"outward": [], "ca_receipt": []}
+    kept = {name: run.added[name] for name in base}
+    write_changes(spark, replace(run, added=kept, replaced={}), {}, str(tmp_path / "run"))
+    figures = run.figures.read()
+    assert figures["rate_conflicts"] == tables["unit_convert"].groupBy("inventory_item_id", "unit_id").count().where("count > 1").count() > 0
+    assert figures["issue_numbers"] == run.targets.count() == 300
+    written = spark.read.parquet(str(tmp_path / "run/outward/added"))
+    cut = written.where("branch_id = 'B1'").count()
+    assert 0 < cut - 10 <= figures["issue_numbers_too_long"] <= cut
+    assert figures["receipt_numbers"] == run.added["ca_receipt"].count() and figures["receipt_numbers_too_long"] > 0
+    lines = run.added["outward_detail"]
+    assert figures["saturated_lines"] == lines.where(f"unit_price >= {10**15 - 1} or amount >= {10**15 - 1}").count()
+    assert 0 <= figures["priced_lines"] <= lines.count()
