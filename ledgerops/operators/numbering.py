@@ -193,12 +193,20 @@ def highest_numbers(registry: DataFrame, categories: tuple[int, ...]) -> DataFra
     )
 
 
+def merge_highest(parts: DataFrame) -> DataFrame:
+    """Highest numbers of several parts of a registry, brought together."""
+    return parts.groupBy("branch_id", "reftype_category").agg(F.max("_highest").alias("_highest"))
+
+
 def advance_state(
-    state: DataFrame, registry: DataFrame, categories: tuple[int, ...], mode: str = AS_WRITTEN
-) -> DataFrame:
+    state: DataFrame, registry: DataFrame | None, categories: tuple[int, ...],
+    mode: str = AS_WRITTEN, highest: DataFrame | None = None,
+) -> DataFrame:
     """Next version of the number state. As written, a branch without a registered
-    number of the category loses its value; as intended it keeps it."""
-    highest = highest_numbers(registry, categories).withColumnsRenamed(
+    number of the category loses its value; as intended it keeps it. `highest` may be
+    given in place of the registry."""
+    found = highest_numbers(registry, categories) if highest is None else highest
+    highest = found.withColumnsRenamed(
         {"branch_id": "_branch", "reftype_category": "_category"}
     )
     joined = state.join(
