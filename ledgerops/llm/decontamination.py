@@ -92,12 +92,12 @@ def _alignments(index: Index, windows: DataFrame) -> DataFrame:
     spots = index.spots
     seeds = stored(spots.join(looked.withColumnRenamed("item_id", "_id"), ["item", "k"]).where(F.col("item_id").eqNullSafe(F.col("_id"))).drop("_id"), "seeds")
     found = join_spread(index.postings.where(F.col("term") != HEAD).select("term", *DOC, "pos"), seeds, ["term"], "inner")
-    found = found.select(*DOC, *ITEM, "size", (F.col("pos") - F.col("k")).alias("shift"), "k")
-    met = found.groupBy(*DOC, *ITEM, "size", "shift").agg(F.collect_set("k").alias("ks"))
-    leads = leads.withColumnRenamed("item_id", "_id").withColumnRenamed("item", "_item")
+    found = found.select(*DOC, "item", (F.col("pos") - F.col("k")).alias("shift"), "k")
+    met = found.groupBy(*DOC, "item", "shift").agg(F.collect_set("k").alias("ks"))
     both = F.exists("pairs", lambda p: F.array_contains("ks", p["lead"]) & F.array_contains("ks", p["second"]))
-    same = met["item_id"].eqNullSafe(leads["_id"]) & (met["item"] == leads["_item"])
-    return met.join(leads, same).where(both).select(*DOC, *ITEM, "size", "shift")
+    sizes = spots.groupBy(*ITEM).agg(F.first("size").alias("size")).withColumnRenamed("item_id", "_id")
+    leads = leads.join(sizes, "item").where(F.col("item_id").eqNullSafe(F.col("_id"))).drop("_id")
+    return met.join(leads, "item").where(both).select(*DOC, *ITEM, "size", "shift")
 
 
 def phrases(index: Index, window: int = 10) -> DataFrame:
@@ -108,6 +108,7 @@ def phrases(index: Index, window: int = 10) -> DataFrame:
     spots = index.spots.select(F.col("item_id").alias("_id"), F.col("item").alias("_item"), "k", "term")
     same = aligned["item_id"].eqNullSafe(spots["_id"]) & (aligned["item"] == spots["_item"])
     wanted = aligned.join(spots, same).select(*DOC, *ITEM, "size", "shift", "k", "term", (F.col("k") + F.col("shift")).alias("pos"))
+    wanted = stored(wanted, "wanted")  # its size tells Spark whether the index has to move
     held = index.postings.where(F.col("term") != HEAD)
     match = _same(wanted, held, [*DOC, "term", "pos"])
     hits = held.join(wanted, match).select(*[wanted[c] for c in (*DOC, *ITEM, "size", "shift", "k")]).distinct()
