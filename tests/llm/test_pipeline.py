@@ -99,3 +99,35 @@ def test_run_against_plain_forms(spark, monkeypatch):
     assert sorted(zip(last["doc_id"], last["decoded_sha256"])) == sorted(
         (d, brute.sha(t.encode())) for d, t in zip(mixed["doc_id"], mixed["text"])
     )
+
+
+def test_stages_on_odd_and_empty_tables(spark, odd_docs, no_docs, tmp_path):
+    """Null ids, null and empty texts, repeated rows, an extra column: toxicity, with no
+    label that fits, keeps all rows; lines change no count; one row with an id of equal texts
+    stays after SimHash; the mix takes known rows; all are encoded."""
+    for label, docs in (("odd", odd_docs.drop("_lines")), ("none", no_docs.drop("_lines"))):
+        for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            before = docs.collect()
+            path = str(tmp_path / f"{label}{number}")
+            stage(spark, docs, str(tmp_path_with_labels(spark, tmp_path, label))).write.mode("overwrite").parquet(path)
+            docs = spark.read.parquet(path)
+            after = docs.collect()
+            if label == "none":
+                assert after == []
+            elif name in ("toxicity", "line_dedup"):
+                assert sorted(str(r.doc_id) for r in after) == sorted(str(r.doc_id) for r in before)
+            elif name == "simhash_near_dedup":
+                known = [r for r in after if r.doc_id is not None]
+                assert len({r.text or "" for r in before}) >= len(known) > 0
+            elif name == "mixing":
+                assert {str(r.doc_id) for r in after} <= {str(r.doc_id) for r in before}
+            else:
+                assert len(after) == len(before)
+
+
+def tmp_path_with_labels(spark, folder, label):
+    path = folder / f"tables_{label}"
+    if not path.exists():
+        none = spark.createDataFrame([(900, 1, 0)], "doc_id long, quality int, toxic int")
+        none.write.parquet(str(path / "labels.parquet"))
+    return path

@@ -283,3 +283,11 @@ def test_memo_is_bounded_by_bytes():
     held = [*memo.new.items(), *memo.old.items()]
     assert sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in held) <= 100_000
     assert memo.get("key 0") is None
+
+
+def test_token_counts_of_a_very_long_pretoken():
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pieces = token_counts.Pieces(open(MODEL, "rb").read())
+    for text in ("x" * 300_000, "ab" * 100_000 + " " + "é" * 50_000):
+        times = token_counts.frequencies(text)
+        assert sum(n * times[t] for t, n in zip(times, pieces.count(list(times)))) == len(library.encode(text))

@@ -155,3 +155,13 @@ def test_isolated_pairs_of_a_long_table(spark, tmp_path):
     roots = got.loc[ids[:500], "component_id"].to_numpy().reshape(-1, 2)
     assert (roots[:, 0] == roots[:, 1])[linked[::2] > 0].all()
     assert (got.loc[ids[500:], "n_links"] == 0).all()
+
+
+def test_repeated_rows_and_null_ids(spark):
+    """A row without an id is no query, and rows that repeat one id are found once."""
+    rows = [(0, [1.0, 0.0]), (20, [0.0, 1.0]), (3, [1.0, 0.1]), (3, [1.0, 0.1]), (None, [1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = ann.nearest_neighbours(frame, F.col("vec_id") % 20 == 0, nearest=4).collect()
+    mine = sorted((r.rank, r.vec_id) for r in found if r.query_id == 0)
+    assert {r.query_id for r in found} == {0, 20}
+    assert [v for _, v in mine if v is not None][:2] == [3, 20]
