@@ -1,15 +1,17 @@
 """Who first holds a repeated stretch: the engine of the suffix and the substring dedup.
 
-Documents are dealt into blocks by a hash of their id; a block is what one Python
-call holds. A block turns its texts into units (bytes or words, 64-bit values) and
+Documents are dealt into blocks by a hash of their id and text; a block is what one
+Python call holds. A block turns its texts into units (bytes or words, 64-bit values) and
 window hashes come from prefix sums, so a pass costs a few operations a unit.
 
 Filter passes find windows that occur more than once: each block sends its distinct
 window hashes, sorted and packed, one piece per hash range ("bucket"); a bucket is
-sorted by itself and answers with one bit per hash. Only windows that pass all
-filters enter the last pass, in which a bucket finds the smallest doc_id of every
-window and answers with one bit: a smaller one holds it elsewhere. A window that is
-very frequent reaches its bucket once per block, never once per occurrence.
+sorted by itself and answers with one bit per hash. The first filter looks at sampled
+windows, each later one at the longer windows that the one before lets through. Only
+windows that pass all filters enter the last pass, in which a bucket finds the smallest
+doc_id of every window and answers with one bit: a smaller one holds it elsewhere. When
+a pass has nothing left to ask, the later ones are left out. A window that is very
+frequent reaches its bucket once per block, never once per occurrence.
 
 A row whose whole text stands in a row with a smaller doc_id holds nothing first and
 loses every window it has, so it takes no part in the passes."""
@@ -19,7 +21,6 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -101,22 +102,33 @@ def _hashes(prefix: np.ndarray, at: np.ndarray, length: int | np.ndarray, which:
 
 
 @dataclass(frozen=True)
-class Scheme:
-    """How windows of `length` units are filtered. `sample` gives the starts at which
-    windows of `filter_length` units are looked at, `candidates` the starts of full
-    windows that may repeat, from a flag per unit that tells which samples do. Full
-    windows are sorted in `ranges` ranges of their hash, one after the other, so that
-    only one range lies on disk at a time."""
+class Step:
+    """Longer windows: `candidates` gives the starts at which windows of `length` units
+    may repeat, from a flag per unit that tells which shorter windows do."""
 
     length: int
+    candidates: Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+@dataclass(frozen=True)
+class Scheme:
+    """How windows are filtered. `sample` gives the starts at which windows of
+    `filter_length` units are looked at; `steps` lead from there to the full windows, the
+    last step's. Full windows are sorted in `ranges` ranges of their hash, one after the
+    other, so that only one range lies on disk at a time."""
+
     filter_length: int
     units: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
     sample: Callable[[np.ndarray], np.ndarray]
-    candidates: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    steps: tuple[Step, ...]
     unit_bytes: float = 1.0
     rate: float = 1.0
     ranges: int = 1
 
+    @property
+    def length(self) -> int:
+        return self.steps[-1].length
+
 
 class Block:
     """One block's documents in order of doc_id, and what its passes have worked out."""
@@ -142,30 +154,16 @@ class Block:
         hashes = np.array([xxhash.xxh64_intdigest(t, TEXT_SEED) for t in self.texts], np.uint64).view(np.int64)
         return np.array([pair in known for pair in zip(self.ids.tolist(), hashes.tolist())])
 
-    @cached_property
-    def sample(self) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and hashes of the sampled windows."""
-        starts = self.scheme.sample(self.bounds)
-        return starts, _hashes(self.prefix, starts, self.scheme.filter_length, 0)
-
-    @cached_property
-    def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        return _distinct(self.sample[1])
+    def sampled(self) -> Asked:
+        """What the first filter asks about."""
+        return Asked(self, self.scheme.sample(self.bounds), self.scheme.filter_length)
 
-    def filtered(self, bits: np.ndarray) -> np.ndarray:
-        """Starts of the full windows that pass the filter; `bits` answers for `keys`."""
-        starts, hashes = self.sample
-        keys, again = self.keys
+    def next(self, asked: Asked, bits: np.ndarray, step: Step) -> np.ndarray:
+        """Starts of a step's windows, given the answers for what was asked before."""
         flags = np.zeros(len(self.units) + 1, bool)
-        flags[starts[_among(hashes, keys[bits])]] = True
-        here = np.flatnonzero(_among(hashes, keys[again & ~bits]))
-        order = here[np.argsort(hashes[here], kind="stable")]  # so documents ascend within a hash
-        edges = np.append(np.flatnonzero(_changes(hashes[order])), len(order))
-        holders = self.owner[starts[order]]
-        several = holders[edges[:-1]] != holders[edges[1:] - 1]
-        flags[starts[order[np.repeat(several, np.diff(edges))]]] = True
-        found = self.scheme.candidates(flags, self.bounds)
-        return found[found + self.scheme.length <= self.bounds[1:][self.owner[found]]]
+        flags[asked.starts[asked.repeated(bits)]] = True
+        found = step.candidates(flags, self.bounds)
+        return found[found + step.length <= self.bounds[1:][self.owner[found]]]
 
     def windows(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The distinct full windows: hash, second hash, smallest doc_id here; and for
@@ -190,6 +188,27 @@ class Block:
         return np.cumsum(marks)[: len(self.units)] > 0
 
 
+class Asked:
+    """The windows of one length that a block asks about, and their distinct hashes."""
+
+    def __init__(self, block: Block, starts: np.ndarray, length: int) -> None:
+        self.block, self.starts = block, starts
+        self.hashes = _hashes(block.prefix, starts, length, 0)
+        self.keys, self.again = _distinct(self.hashes)
+
+    def repeated(self, bits: np.ndarray) -> np.ndarray:
+        """Places of the windows that another document holds too: other blocks by `bits`,
+        an answer for each key, this one by its own holders."""
+        hit = _among(self.hashes, self.keys[bits])
+        here = np.flatnonzero(_among(self.hashes, self.keys[self.again & ~bits]))
+        order = here[np.argsort(self.hashes[here], kind="stable")]  # so documents ascend within a hash
+        edges = np.append(np.flatnonzero(_changes(self.hashes[order])), len(order))
+        holders = self.block.owner[self.starts[order]]
+        several = holders[edges[:-1]] != holders[edges[1:] - 1]
+        hit[order[np.repeat(several, np.diff(edges))]] = True
+        return np.flatnonzero(hit)
+
+
 def _changes(ranked: np.ndarray) -> np.ndarray:
     """Whether each value differs from the one before it."""
     new = np.ones(len(ranked), bool)
@@ -249,7 +268,7 @@ def _joined_bits(answers: pa.Table, kind: int, cuts: np.ndarray) -> np.ndarray:
     return flags
 
 
-FILTER, OWNER, COPIES = range(3)
+OWNER, COPIES, FILTER = range(3)  # filters are FILTER, FILTER + 1, ... by level
 _SENT = "kind int, bucket int, block long, keys binary, tags binary, ids binary"
 _ANSWER = "kind int, bucket int, block long, bits binary"
 _SENT_ARROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("tags", pa.binary()), ("ids", pa.binary())])
@@ -305,7 +324,7 @@ def dedup(docs: DataFrame, scheme: Scheme, report: Callable[[Block, np.ndarray],
     other; a missing doc_id counts as larger than any other."""
     rows = docs.select(
         "doc_id", text_of().alias("text"),
-        F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))).alias("hash"),
+        F.xxhash64("doc_id", text_of()).alias("hash"),
     )
     total = rows.select(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / BYTES_PER_BLOCK))
@@ -322,15 +341,27 @@ def dedup(docs: DataFrame, scheme: Scheme, report: Callable[[Block, np.ndarray],
             [{"kind": kind, "bucket": i, "block": block} | cut_out(lo, hi) for i, lo, hi in ranges], _SENT_ARROW
         )
 
-    def ask_filter(key: tuple, table: pa.Table, answers: pa.Table) -> pa.Table:
+    def ask_filter(key: tuple, table: pa.Table, answers: pa.Table, level: int) -> pa.Table:
         if not table.num_rows:
             return _SENT_ARROW.empty_table()
-        keys, _ = Block(table, scheme, answers).keys
+        keys = reached(Block(table, scheme, answers), answers, level).keys
         low = keys.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
-        return pieces(FILTER, key[0].as_py(), _cuts(keys, buckets[0]), lambda lo, hi: {"keys": low[lo:hi].tobytes()})
+        return pieces(FILTER + level, key[0].as_py(), _cuts(keys, buckets[0]), lambda lo, hi: {"keys": low[lo:hi].tobytes()})
+
+    def reached(block: Block, answers: pa.Table, level: int) -> Asked:
+        """What the filter of a level asks about, after the answers to those before it."""
+        asked = block.sampled()
+        for done, step in enumerate(scheme.steps[:level]):
+            asked = Asked(block, block.next(asked, told(asked, answers, done), step), step.length)
+        return asked
+
+    def told(asked: Asked, answers: pa.Table, level: int) -> np.ndarray:
+        return _joined_bits(answers, FILTER + level, _cuts(asked.keys, buckets[0]))
 
     def suspected(block: Block, answers: pa.Table) -> np.ndarray:
-        return block.filtered(_joined_bits(answers, FILTER, _cuts(block.keys[0], buckets[0])))
+        last = len(scheme.steps) - 1
+        asked = reached(block, answers, last)
+        return block.next(asked, told(asked, answers, last), scheme.steps[last])
 
     def ask_owner(key: tuple, table: pa.Table, answers: pa.Table, part: int) -> pa.Table:
         if not table.num_rows:
@@ -358,16 +389,20 @@ def dedup(docs: DataFrame, scheme: Scheme, report: Callable[[Block, np.ndarray],
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
     copies = stored(_earlier_texts(rows.select("doc_id", "text", blocked)), "copies")
-    ties = stored(
-        dealt.groupBy("block").cogroup(copies.groupBy("block")).applyInArrow(ask_filter, _SENT)
-        .groupBy("bucket").applyInArrow(_filter_bucket, _ANSWER),
-        "ties",
-    )
-    ties = ties.unionByName(copies)
-    replies = ties
-    for part in range(scheme.ranges):
-        asked = dealt.groupBy("block").cogroup(ties.groupBy("block")).applyInArrow(_with_part(ask_owner, part), _SENT)
-        replies = replies.unionByName(stored(asked.groupBy("bucket").applyInArrow(_owner_bucket, _ANSWER), "holders"))
+
+    def passed(known: DataFrame, ask: Callable, part: int, answer: Callable, name: str) -> DataFrame:
+        asked = dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_with_part(ask, part), _SENT)
+        return stored(asked.groupBy("bucket").applyInArrow(answer, _ANSWER), name)
+
+    replies, left = copies, True
+    for level in range(len(scheme.steps)):
+        ties = passed(replies, ask_filter, level, _filter_bucket, f"ties{level}")
+        replies, left = replies.unionByName(ties), not ties.isEmpty()
+        if not left:
+            break
+    filtered = replies
+    for part in range(scheme.ranges if left else 0):
+        replies = replies.unionByName(passed(filtered, ask_owner, part, _owner_bucket, "holders"))
     return dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(finish, schema)
 
 

@@ -1,4 +1,4 @@
-"""Substring dedup over words: repeated windows, found at half the length first."""
+"""Substring dedup over words: repeated windows, found level by level at doubled lengths."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 
 from ledgerops.llm import repeats
 
+SHORTEST = 8  # words of the first level at most
+
 
 def _every_start(length: int):
     def sample(bounds: np.ndarray) -> np.ndarray:
@@ -30,6 +32,14 @@ def _both_halves(length: int, half: int):
     return candidates
 
 
+def levels(words: int) -> list[int]:
+    """Window lengths, the shortest first: each is half of the next, rounded up."""
+    lengths = [words]
+    while len(lengths) < 2 or lengths[0] > SHORTEST:
+        lengths.insert(0, (lengths[0] + 1) // 2)
+    return lengths
+
+
 def dedup_windows(docs: DataFrame, words: int = 50) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) for every row of `docs` (doc_id, text).
 
@@ -38,18 +48,20 @@ def dedup_windows(docs: DataFrame, words: int = 50) -> DataFrame:
     other words, joined by one space. Words are `[^\\x20\\x09-\\x0D]+`, unchanged; null
     and empty texts have none.
 
-    Windows of half the length come first; only a window whose two halves both repeat
-    is extended to the full length, and only those are compared for their holders.
+    Windows of a short length come first (7 words for 50). Where two that repeat, one at
+    the beginning and one at the end, make up a window of twice the length (one word less
+    where the length wanted asks for it), that is looked at next: 7, 13, 25, 50. Each level
+    asks only about windows that the level before lets through, until the full length is
+    reached or none is left; the full windows are compared for their holders.
 
     Rows with equal doc_id take nothing from each other; a missing doc_id counts as
     larger than all others and comes back null. Other columns are ignored. An empty
     table gives no rows."""
     if words < 2:
         raise ValueError("a window has two words at least")
-    half = (words + 1) // 2
-    scheme = repeats.Scheme(
-        words, half, repeats.word_units, _every_start(half), _both_halves(words, half), unit_bytes=5.0
-    )
+    lengths = levels(words)
+    steps = tuple(repeats.Step(long, _both_halves(long, short)) for short, long in zip(lengths, lengths[1:]))
+    scheme = repeats.Scheme(lengths[0], repeats.word_units, _every_start(lengths[0]), steps, unit_bytes=5.0)
     return repeats.dedup(docs, scheme, _report, "doc_id long, n_words long, n_removed long, kept string")
 
 

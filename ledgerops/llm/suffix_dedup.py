@@ -63,7 +63,7 @@ def dedup_substrings(docs: DataFrame, length: int = 50) -> DataFrame:
     if length <= PERIOD:
         raise ValueError(f"length must be over {PERIOD}")
     scheme = repeats.Scheme(
-        length, length - PERIOD + 1, repeats.byte_units, _cover_sample(length), _near_ties,
+        length - PERIOD + 1, repeats.byte_units, _cover_sample(length), (repeats.Step(length, _near_ties),),
         rate=len(COVER) / PERIOD, ranges=RANGES,
     )
     schema = "doc_id long, n_bytes long, spans array<struct<from:long,to:long>>, kept binary"

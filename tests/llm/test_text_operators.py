@@ -81,12 +81,58 @@ def test_substring_dedup(docs):
     assert by_id(got) == brute.windows(pairs(docs))
 
 
-@pytest.mark.parametrize("length", [2, 3, 7])
+@pytest.mark.parametrize("length", [2, 7, 17])
 def test_substring_dedup_of_short_windows(hard_docs, length):
     got = substring_dedup.dedup_windows(hard_docs, words=length).withColumn("kept", F.sha2("kept", 256))
     assert by_id(got) == brute.windows(pairs(hard_docs), length)
 
 
+def test_levels_double_up_to_the_window():
+    assert substring_dedup.levels(50) == [7, 13, 25, 50]
+    assert substring_dedup.levels(2) == [1, 2]
+    for words in range(2, 200):
+        found = substring_dedup.levels(words)
+        assert found[-1] == words and found[0] <= substring_dedup.SHORTEST
+        assert all(short < long <= 2 * short for short, long in zip(found, found[1:]))
+
+
+@pytest.mark.parametrize(
+    "shared, asked, gone",
+    [
+        (6, ["copies", "ties0", "ties1"], 0),
+        (7, ["copies", "ties0", "ties1"], 0),
+        (24, ["copies", "ties0", "ties1", "ties2"], 0),
+        (49, ["copies", "ties0", "ties1", "ties2", "holders"], 0),
+        (50, ["copies", "ties0", "ties1", "ties2", "holders"], 50),
+    ],
+)
+def test_levels_end_with_the_candidates(spark, monkeypatch, shared, asked, gone):
+    from ledgerops.llm import repeats
+
+    monkeypatch.setattr(repeats, "BYTES_PER_BLOCK", 200)  # the two texts lie in two blocks
+    common = [f"s{i}" for i in range(shared)]
+    texts = [" ".join([f"{d}a{i}" for i in range(70)] + common + [f"{d}b{i}" for i in range(70)]) for d in "xy"]
+    docs = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
+    names = []
+    kept = repeats.stored
+    monkeypatch.setattr(repeats, "stored", lambda frame, name: names.append(name) or kept(frame, name))
+    got = {r.doc_id: r.n_removed for r in substring_dedup.dedup_windows(docs).collect()}
+    assert got == {1: 0, 2: gone}
+    # the pass that finds nothing to ask is the last one
+    assert names == asked
+
+
+def test_rows_of_one_id_lie_in_several_blocks(spark, monkeypatch):
+    from ledgerops.llm import repeats
+
+    monkeypatch.setattr(repeats, "BYTES_PER_BLOCK", 2_000)
+    same = " ".join(f"s{i}" for i in range(60))
+    rows = [(7, f"{' '.join(f'r{d}x{i}' for i in range(60))} {same}") for d in range(40)] + [(3, same)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_removed) for r in substring_dedup.dedup_windows(docs).collect())
+    assert got == [(3, 0)] + [(7, 60)] * 40
+
+
 def test_many_blocks_and_buckets(sample, monkeypatch):
     from ledgerops.llm import repeats
 
