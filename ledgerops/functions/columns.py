@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType
 MONEY = "decimal(21,6)"
 TOTAL = "decimal(38,6)"
 REPEAT_STEP = 10_000
+LEDGER_DAY = "ledger_day"  # a clustered ledger's column, by which it is laid out
 
 
 def lot_key(column: Column) -> Column:
@@ -24,6 +25,11 @@ def expiry_key(column: Column) -> Column:
     return F.coalesce(column.cast("date"), F.lit("1900-01-01").cast("date"))
 
 
+def day_of(ledger: DataFrame) -> Column:
+    """The calendar day of a ledger row: stored in a clustered ledger, else worked out."""
+    return F.col(LEDGER_DAY) if LEDGER_DAY in ledger.columns else F.to_date("ref_date")
+
+
 def null_of(kind: str) -> Column:
     return F.lit(None).cast(kind)
 

@@ -521,6 +521,7 @@ def _inventory(measures: bool) -> dict[str, str]:
             where h.ref_type in (2909, 2910) and (o.ref_id is null or i.ref_id is null)""",
         ),
         "inv7_ledger_vs_balance": _level_sql(inv.BALANCE, measures),
+        "inv7_ledger_vs_balance_clustered": _level_sql(inv.BALANCE, measures),
         "inv8_ledger_vs_balance_lot": _level_sql(inv.BALANCE_LOT, measures),
         "inv9_ledger_vs_balance_location": _level_sql(inv.BALANCE_LOCATION, measures),
         "inv10_ledger_vs_closing": _level_sql(inv.CLOSING, measures),
@@ -807,6 +808,8 @@ VOUCHERS = {
         select {_project(SCHEMAS['outward_detail'], _line_values())} from issue_line""",
     "vg19_stock_on_hand": "select * from on_hand",
     "vg19_stock_on_hand_intended": "select * from on_hand_asof",
+    "vg19_stock_on_hand_clustered": "select * from on_hand",
+    "vg19_stock_on_hand_clustered_intended": "select * from on_hand_asof",
     "vg20_costed_lines": "select * from costed",
     "vg20_costed_lines_intended": "select * from costed_asof",
     "vg21_issue_totals": _totals("costed"),
