@@ -521,7 +521,6 @@ def _inventory(measures: bool) -> dict[str, str]:
             where h.ref_type in (2909, 2910) and (o.ref_id is null or i.ref_id is null)""",
         ),
         "inv7_ledger_vs_balance": _level_sql(inv.BALANCE, measures),
-        "inv7_ledger_vs_balance_clustered": _level_sql(inv.BALANCE, measures),
         "inv8_ledger_vs_balance_lot": _level_sql(inv.BALANCE_LOT, measures),
         "inv9_ledger_vs_balance_location": _level_sql(inv.BALANCE_LOCATION, measures),
         "inv10_ledger_vs_closing": _level_sql(inv.CLOSING, measures),
@@ -964,6 +963,7 @@ def _cuts() -> str:
 def oracle_sql() -> dict[str, str]:
     texts = {
         **_inventory(True),
+        "inv7_ledger_vs_balance_clustered": _inventory(True)["inv7_ledger_vs_balance"],
         "inv_all_stock_report": " union all ".join(_inventory(False).values()),
         **RECEIVABLE,
         "ar_cap_capped_findings": _capped(),
