@@ -14,7 +14,6 @@ import ledgerops
 from ledgerops.session import keep, tune
 
 ROWS_PER_BATCH = 512
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SPACE = r"[^\x20\x09-\x0D]+"
 
 
@@ -49,15 +48,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
-    """The frame written to the shared folder and read back; the shuffle files of
-    the write go as soon as it is done, so that steps do not add up on disk."""
-    conf = frame.sparkSession.conf
-    before = conf.get(SHUFFLE_CLEANUP, None)
-    conf.set(SHUFFLE_CLEANUP, "true")
-    try:
-        return keep(frame, name)
-    finally:
-        conf.unset(SHUFFLE_CLEANUP) if before is None else conf.set(SHUFFLE_CLEANUP, before)
+    """The frame written to the shared folder and read back (`keep`)."""
+    return keep(frame, name)
 
 
 def text_of(column: str = "text") -> Column:
