@@ -105,3 +105,32 @@ def test_limits_by_language(spark):
     docs = spark.createDataFrame([(1, "a", "de"), (2, "a", "en"), (3, None, None)], "doc_id long, text string, lang string")
     found = {r.doc_id: (r.predicted, r.rejected) for r in toxicity.score(docs, model).collect()}
     assert found == {1: (1, False), 2: (1, True), 3: (1, True)}
+
+
+def test_all_labelled_rows_are_learned_from(spark, monkeypatch):
+    """Words of rows that a sample of the first ids by hash leaves out are learned too."""
+    ids = list(range(1, 4001))
+    rows = [(i, f"word{i % 7} " + (f"bad{i % 40}" if i % 2 else f"good{i % 40}") + f" end{i % 5}", "en") for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in ids], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 500)  # several shards
+    epoch = toxicity._epoch
+    monkeypatch.setattr(toxicity, "sample_of", lambda *_: pytest.fail("a sample"))
+    monkeypatch.setattr(toxicity, "_epoch", lambda dealt, *rest: seen.append((dealt.count(), dealt.select("shard").distinct().count())) or epoch(dealt, *rest))
+    model = toxicity.train(docs, labels)
+    learned = docs.where((toxicity.fold(docs.doc_id) != 0) & (toxicity.fold(docs.doc_id) != toxicity.CALIBRATION_FOLD)).count()
+    assert seen == [(learned, -(-learned // 500))] * toxicity.EPOCHS and learned > 2000
+    found = toxicity.score(docs, model).join(labels, "doc_id").where("predicted = toxic").count()
+    assert found > 0.95 * len(ids)
+    again = toxicity.train(docs, labels)
+    assert np.allclose(again.words, model.words, atol=1e-6) and again.limits == model.limits
+
+
+def test_a_long_text_is_learned_from_by_its_windows(monkeypatch):
+    model = toxicity.Classifier.new(3)
+    text = b"some words and more " * 30
+    whole = toxicity.features([text])[0]
+    monkeypatch.setattr(toxicity, "SLICE", 64)
+    rows = model._look_at(text)
+    assert len(rows) <= (len(toxicity.WIDTHS) * toxicity.FILTERS + 1) * toxicity.PADS < len(whole) + 200
