@@ -356,7 +356,8 @@ def _epoch(
         for group in _shards(batches):
             for chunk, numbers in learn(group).items():
                 added[chunk] = added.get(chunk, 0) + numbers
-        yield pd.DataFrame({"chunk": list(added), "numbers": [x.tolist() for x in added.values()]})
+        if added:
+            yield pd.DataFrame({"chunk": list(added), "numbers": [x.tolist() for x in added.values()]})
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         added = np.sum([np.asarray(x) for x in group["numbers"]], axis=0)
