@@ -1,12 +1,15 @@
 """Physical plans that have to hold at scale."""
 
 import re
+from datetime import datetime
 
 import pytest
 from compare import plan
+from pyspark.sql import functions as F
 
 from ledgerops import queries
 from ledgerops.operators import costing, inventory_checks, receipts, sync
+from ledgerops.sources.tables import DerivedTables, through
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -107,3 +110,40 @@ def test_receipts_read_payments_and_targets_once(spark, tables, settled_plans):
     text = plan(queries.candidates(tables))
     assert len(scans(text, "receive_amount")) == 1
     assert text.count("SortMergeJoin") <= 4
+
+
+def _moved(text):
+    """What stands below each exchange of a plan, up to the next one."""
+    return [part.split("Exchange")[0] for part in text.split("Exchange hashpartitioning")[1:]]
+
+
+def test_missing_orders_move_before_they_are_wide(spark, tables, settled_plans):
+    run_at = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
+    for name, frame in (
+        ("page_name", sync.missing_orders(tables, run_at)),
+        ("page_name", sync.next_orders(tables, run_at)),
+        ("unit_name", sync.missing_order_lines(tables, run_at)),
+    ):
+        text = plan(frame)
+        assert name in text  # the view's wide columns are made,
+        assert not [below for below in _moved(text) if f"AS {name}" in below]  # but not moved
+
+
+def test_a_step_below_a_view_gives_the_rows_of_a_step_on_it(spark, tmp_path):
+    day = datetime(2020, 1, 1)
+    orders = [(1, 1, 5.0, day), (1, 1, 6.0, day), (2, 2, 7.0, day), (3, 9, 8.0, day), (None, 1, 9.0, day), (4, 1, None, None)]
+    customers = [(1, "one"), (2, "two"), (2, "two again"), (None, "none")]
+    spark.createDataFrame(
+        orders, "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(customers, "c_custkey long, c_name string").write.parquet(f"{tmp_path}/customer.parquet")
+    t = DerivedTables(spark, str(tmp_path))
+    marks = spark.createDataFrame([("O1", "a"), ("O2", "b"), ("O2", "c"), (None, "d")], "order_id string, mark string")
+
+    def step(frame):
+        return frame.join(marks, "order_id", "left")
+
+    below, above = through(t, "sa_order", ["order_id"], step), step(t["sa_order"])
+    assert sorted(below.columns) == sorted(above.columns)
+    rows = [sorted(map(str, f.select(*sorted(above.columns)).collect())) for f in (below, above)]
+    assert rows[0] == rows[1] and len(rows[0]) == 8
