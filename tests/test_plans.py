@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgerops import queries
 from ledgerops.operators import costing, inventory_checks, receipts, sync
-from ledgerops.sources.tables import DerivedTables, through
+from ledgerops.sources.derived import DERIVED, depends_on
+from ledgerops.sources.tables import DerivedTables, through, wall_clock
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -163,3 +164,42 @@ def test_a_step_below_a_view_gives_the_rows_of_a_step_on_it(spark, tmp_path):
     assert sorted(below.columns) == sorted(above.columns)
     rows = [sorted(map(str, f.select(*sorted(above.columns)).collect())) for f in (below, above)]
     assert rows[0] == rows[1] and len(rows[0]) == 8
+
+
+LEDGER = "led_inventory_item_ledger"
+
+
+def test_lines_do_not_move_into_the_ledger(spark, settled_plans, whole_lists):
+    t = DerivedTables(spark, SMALL)
+    text = plan(t._ledger(LEDGER))
+    assert text.count("SortMergeJoin") == 4
+    assert "l_quantity" in text and not [line for line in _moved(text) if "l_quantity" in line]
+
+
+def test_dealt_lines_give_the_ledger_of_its_definition(spark, tmp_path):
+    day = datetime(2020, 1, 1)
+    kinds = ["A", "R", "N", "A", None]
+    lines = [
+        (order, part, part, number, 2.0 + part, 3.0, kinds[(order + number) % 5], day)
+        for order in range(12) for part in (2, 3, 6) for number in (1, 2)
+    ]
+    lines += lines[:9] + [(None, 2, 2, 1, 1.0, 1.0, "A", day), (1, None, 2, 1, 1.0, 1.0, "R", None), (2, 3, 3, 1, 9.0, 9.0, "R", day)]
+    spark.createDataFrame(
+        lines,
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+        " l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(2, 5.0), (3, 6.0)], "p_partkey long, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    t = DerivedTables(spark, str(tmp_path))
+    plain = {"lineitem": t["lineitem"], "part": t["part"]}
+
+    def defined(name):
+        if name not in plain:
+            plain[name] = wall_clock(spark.sql(DERIVED[name], **{other: defined(other) for other in depends_on(name)}))
+        return plain[name]
+
+    for name in ("li", LEDGER):
+        found, wanted = t[name], defined(name)
+        assert set(wanted.columns) <= set(found.columns)
+        rows = [sorted(map(str, f.select(*wanted.columns).collect())) for f in (found, wanted)]
+        assert rows[0] == rows[1] and rows[0]
