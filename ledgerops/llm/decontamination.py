@@ -19,6 +19,7 @@ from ledgerops.llm.common import stored, text_of
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 HEAD = ""  # the term of the posting that stands for the document itself
+PLACES = 1 << 24  # of documents by mark, 64 to a row: at most 2**18 rows tell them
 DOC = ["doc_id", "mark"]
 ITEM = ["item_id", "item"]
 
@@ -100,6 +101,18 @@ def _alignments(index: Index, windows: DataFrame) -> DataFrame:
     return met.join(leads, "item").where(both).select(*DOC, *ITEM, "size", "shift")
 
 
+def _near(postings: DataFrame, aligned: DataFrame) -> DataFrame:
+    """The postings of documents that have an alignment, and of the few whose marks fall
+    on the same places. The places are a table of bounded size, so it is broadcast and
+    the rest of the index stays where it lies."""
+    place = F.pmod("mark", F.lit(PLACES))
+    row, bit = F.shiftright(place, 6), place.bitwiseAND(F.lit(63)).cast("int")
+    marked = aligned.select(row.alias("_row"), bit.alias("_bit")).distinct()
+    bits = marked.groupBy("_row").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
+    near = postings.withColumn("_row", row).join(F.broadcast(bits), "_row")
+    return near.where(F.getbit("_bits", bit) == 1).select(*postings.columns)
+
+
 def phrases(index: Index, window: int = 10) -> DataFrame:
     """Exact matches: (doc_id, mark, item_id, item, item_from, doc_from, n_words), one row
     for each maximal run of words that a document and an item share at one alignment and
@@ -109,7 +122,7 @@ def phrases(index: Index, window: int = 10) -> DataFrame:
     same = aligned["item_id"].eqNullSafe(spots["_id"]) & (aligned["item"] == spots["_item"])
     wanted = aligned.join(spots, same).select(*DOC, *ITEM, "size", "shift", "k", "term", (F.col("k") + F.col("shift")).alias("pos"))
     wanted = stored(wanted, "wanted")  # its size tells Spark whether the index has to move
-    held = index.postings.where(F.col("term") != HEAD)
+    held = _near(index.postings.where(F.col("term") != HEAD).select("term", *DOC, "pos"), aligned)
     match = _same(wanted, held, [*DOC, "term", "pos"])
     hits = held.join(wanted, match).select(*[wanted[c] for c in (*DOC, *ITEM, "size", "shift", "k")]).distinct()
     alignment = [*DOC, *ITEM, "size", "shift"]

@@ -122,3 +122,15 @@ def test_plan_is_native(planted):
     docs, items = planted
     text = dc.decontaminate(docs, items)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", text)
+
+
+def test_the_index_moves_only_for_documents_with_an_alignment(spark):
+    rows = [(term, i, 1000 + 7 * i, k) for i in range(300) for k, term in enumerate(("a", "b", "a"))]
+    rows.append(("a", None, -5, 1))
+    postings = spark.createDataFrame(rows, "term string, doc_id long, mark long, pos int")
+    aligned = spark.createDataFrame([(7,), (7,), (63,), (64,), (299,), (None,)], "doc_id long").withColumn(
+        "mark", F.coalesce(F.lit(1000) + 7 * F.col("doc_id"), F.lit(-5))
+    )
+    near = dc._near(postings, aligned)
+    assert near.columns == postings.columns
+    assert Counter(r.doc_id for r in near.collect()) == {7: 3, 63: 3, 64: 3, 299: 3, None: 1}
