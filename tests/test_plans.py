@@ -8,7 +8,7 @@ from compare import plan
 from pyspark.sql import functions as F
 
 from ledgerops import queries
-from ledgerops.operators import costing, inventory_checks, receipts, sync
+from ledgerops.operators import costing, inventory_checks, issues, receipts, sync
 from ledgerops.sources.derived import DERIVED, depends_on
 from ledgerops.sources.tables import DerivedTables, through, wall_clock
 
@@ -113,15 +113,15 @@ def test_receipts_read_payments_and_targets_once(spark, tables, settled_plans):
     assert text.count("SortMergeJoin") <= 4
 
 
-def _moved(text):
-    """The lines of a plan that stand below some exchange."""
+def _moved(text, node="Exchange"):
+    """The lines of a plan that stand below some exchange, or below another node."""
     depth, moved = None, []
     for line in text.splitlines():
         at = len(line) - len(line.lstrip(" :+-"))
         if depth is not None and at > depth:
             moved.append(line)
         else:
-            depth = at if "Exchange" in line else None
+            depth = at if node in line else None
     return moved
 
 
@@ -203,3 +203,15 @@ def test_dealt_lines_give_the_ledger_of_its_definition(spark, tmp_path):
         assert set(wanted.columns) <= set(found.columns)
         rows = [sorted(map(str, f.select(*wanted.columns).collect())) for f in (found, wanted)]
         assert rows[0] == rows[1] and rows[0]
+
+
+def test_order_lines_meet_their_issues_before_they_are_wide(spark, tables, settled_plans, whole_lists):
+    run_at = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
+    headers = queries.issue_headers(tables)
+    below = issues.stored_issue_lines(headers, tables, run_at)
+    text = plan(below)
+    assert "AS sku_code" in text
+    assert not [line for line in _moved(text, "hashpartitioning(order_id") if "AS sku_code" in line]
+    above = issues.issue_lines(headers, tables["sa_order_detail"], tables["stock"], tables["inventory_item"], run_at)
+    assert below.columns == above.columns and below.count() == above.count() > 0
+    assert below.exceptAll(above).isEmpty()
