@@ -7,7 +7,7 @@ import pytest
 from compare import plan
 from pyspark.sql import functions as F
 
-from ledgerops import queries
+from ledgerops import queries, session
 from ledgerops.operators import costing, inventory_checks, issues, receipts, sync
 from ledgerops.sources.derived import DERIVED, depends_on
 from ledgerops.sources.tables import DerivedTables, through, wall_clock
@@ -205,6 +205,47 @@ def test_dealt_lines_give_the_ledger_of_its_definition(spark, tmp_path):
         assert rows[0] == rows[1] and rows[0]
 
 
+def test_order_lines_and_their_ledger_stay_where_they_lie(spark, tables, settled_plans, whole_lists, monkeypatch):
+    written, keep = {}, session._keep
+    monkeypatch.setattr(session, "_keep", lambda frame, name: written.update({name: plan(frame)}) or keep(frame, name))
+    before = spark.conf.get(session.ALL_KEYS)
+    found = plan(inventory_checks.order_not_in_ledger(tables))
+    assert spark.conf.get(session.ALL_KEYS) == before
+    text = written["unposted_lines"]
+    assert "LeftAnti" in text and "l_partkey" in text and "l_partkey" not in found
+    for one in (text, plan(tables["led_order_item_ledger"])):
+        assert "o_custkey" in "".join(_moved(one)) and "l_partkey" not in "".join(_moved(one))
+
+
+def test_orders_by_key_give_the_lines_of_orders_by_id(spark, tmp_path):
+    day = datetime(2020, 1, 1)
+    lines = [(order, part, 2, number) for order in (0, 1, 8, 9, 17) for part in (1, 10, 150) for number in (1, 2)]
+    lines += lines[:3] + [(None, 150, 2, 1), (8, None, 2, 1), (9, 150, None, 1), (9, 150, 2, None), (33, 150, 2, 1)]
+    rows = {
+        "lineitem": ([(*line, 1.0, 1.0, "A", day) for line in lines],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+            " l_extendedprice double, l_returnflag string, l_shipdate timestamp_ntz"),
+        "orders": ([(key, customer, 5.0, day) for key, customer in (
+            (0, 1), (1, 2), (1, 2), (8, 3), (9, 2), (9, 1), (17, 9), (None, 1), (33, None))],
+            "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz"),
+        "customer": ([(1, "one"), (2, "two"), (2, "again"), (3, "three"), (None, "none")], "c_custkey long, c_name string"),
+    }
+    for name, (values, schema) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    t = DerivedTables(spark, str(tmp_path))
+    plain = {name: t[name] for name in rows}
+    for name in ("li", "sa_order", "sa_order_detail", "led_order_item_ledger"):
+        plain[name] = wall_clock(spark.sql(DERIVED[name], **{other: plain[other] for other in depends_on(name)}))
+
+    def listed(frame):
+        return sorted(map(str, frame.collect()))
+
+    ledger = "led_order_item_ledger"
+    assert t[ledger].columns == plain[ledger].columns and listed(t[ledger]) == listed(plain[ledger])
+    by_key, by_id = (listed(inventory_checks.order_not_in_ledger(tables)) for tables in (t, plain))
+    assert by_key == by_id and len(by_key) > 10
+
+
 def test_order_lines_meet_their_issues_before_they_are_wide(spark, tables, settled_plans, whole_lists):
     run_at = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
     headers = queries.issue_headers(tables)
